@@ -126,23 +126,46 @@ class Source:
         return self.dataset_id != UNVERIFIED
 
 
-_PERSON_MAP = {
-    "inmateid": "inmate_id",
-    "admitted_dt": "booking_date",
-    "race": "race_ethnicity",
-    "inmate_status_code": "detention_status_code",
-    "top_charge": "charge_code_raw",
-}
-
+# Raw field name -> schema name. The keys are also the fields that are read at all.
 SOURCES = [
-    Source("NYC Daily Inmates In Custody", "NYC", "7479-ugqb", "admitted_dt",
-           column_map={**_PERSON_MAP, "infraction": "infraction_flag", "sealed": "sealed_flag"}),
-    Source("NYC Inmate Discharges", "NYC", "94ri-3ium", "admitted_dt",
-           column_map={**_PERSON_MAP, "discharged_dt": "release_date"}),
+    Source(
+        "NYC Daily Inmates In Custody", "NYC", "7479-ugqb", "admitted_dt",
+        column_map={
+            "inmateid": "inmate_id",
+            "admitted_dt": "booking_date",
+            "race": "race_ethnicity",
+            "gender": "gender",
+            "age": "age",
+            "inmate_status_code": "detention_status_code",
+            "top_charge": "charge_code_raw",
+            "custody_level": "custody_level",
+            "infraction": "infraction_flag",
+            "sealed": "sealed_flag",
+        },
+    ),
+    Source(
+        "NYC Inmate Discharges", "NYC", "94ri-3ium", "admitted_dt",
+        column_map={
+            "inmateid": "inmate_id",
+            "admitted_dt": "booking_date",
+            "discharged_dt": "release_date",
+            "race": "race_ethnicity",
+            "gender": "gender",
+            "age": "age",
+            "inmate_status_code": "detention_status_code",
+            "top_charge": "charge_code_raw",
+        },
+    ),
     Source("LA County Jail — PENDING VERIFICATION", "LA", UNVERIFIED, "booking_date"),
     Source("MD Jail Data — AGGREGATE ONLY", "MD", UNVERIFIED, "year"),
     Source("DC DOC Population (Aggregate)", "DC", "population-statistics", "report_date", kind="features"),
 ]
+# Fields of booking records obtained from courts or by records request (already schema names).
+COURT_COLUMNS = [
+    "inmate_id", "booking_date", "release_date", "race_ethnicity", "gender", "age",
+    "detention_status_code", "charge_code_raw", "bail_set_amount", "bail_type", "bail_paid",
+    "case_disposition", "zip_code", "facility",
+]
 
 # --- fixed values: charge taxonomy --------------------------------------------
 # (description, class, jurisdiction, statute section), grouped by category and flag.

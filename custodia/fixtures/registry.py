@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from custodia import config
-from custodia.fixtures import binding, oracle
+from custodia.fixtures import binding, oracle, oracle_etl, registry_etl
 from custodia.plans import addiction, bail_gap, charts, conditions, innocence, marts, plea, reform
 from custodia.plans.star import Star
 
@@ -83,8 +83,8 @@ def _charts() -> dict[str, Query]:
 
 
 def queries() -> dict[str, Query]:
-    return {**_reports(), **_charts()}
+    return {**registry_etl.queries(), **_reports(), **_charts()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.star_checks()
+    return {**oracle_etl.checks(), **oracle.star_checks()}

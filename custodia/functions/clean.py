@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, functions as F
 
@@ -64,3 +64,7 @@ def as_date(value: date | str | None) -> Column:
     if isinstance(value, datetime):
         value = value.date()
     return F.lit(value).cast("date")
+
+
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)

@@ -138,12 +138,14 @@ def tiled(
     return fold(settled.unionByName(split_rows), [partition, "tile"], list(measures))
 
 
-def numbered(df: DataFrame, key: str, name: str, start: Column, prefix: int = 4) -> DataFrame:
+def numbered(
+    df: DataFrame, key: str, name: str, start: Column, prefix: int = 4, digest: bool = False
+) -> DataFrame:
     """Dense numbers in the order of a unique text ``key``, counted from ``start`` + 1.
 
     Equal to ROW_NUMBER() OVER (ORDER BY key), but counted per key prefix so that
-    no single task sees every row. Keys are digests or ZIP codes, whose prefixes
-    are many and even.
+    no single task sees every row. A hexadecimal ``digest`` has at most 65,536
+    prefixes, evenly filled, whose offsets are then sent to every task.
     """
     head = F.substring(F.col(key), 1, prefix)
     offsets = (
@@ -157,9 +159,29 @@ def numbered(df: DataFrame, key: str, name: str, start: Column, prefix: int = 4)
     inside = Window.partitionBy("_head").orderBy(key)
     return (
         df.withColumn("_head", head)
-        .join(offsets, "_head")
-        .withColumn(
-            name, (start + F.col("_before") + F.row_number().over(inside)).cast("long")
-        )
+        .join(F.broadcast(offsets) if digest else offsets, "_head")
+        .withColumn(name, (start + F.col("_before") + F.row_number().over(inside)).cast("long"))
         .drop("_head", "_before")
     )
+
+
+SALTS = 64
+
+
+def hot_join(
+    rows: DataFrame, lookup: DataFrame, key: str, hot_value: str, spread_by: Sequence[str]
+) -> DataFrame:
+    """Left join on ``key`` when one known value may stand for a large part of the rows.
+
+    Rows with that value are spread over SALTS join keys by ``spread_by``, and the
+    lookup's one row for it is repeated as often. Other values join as usual.
+    """
+    is_hot = F.col(key) == hot_value
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salted = lookup.withColumn("_salt", F.explode(copies))
+    return (
+        rows.withColumn("_salt", F.when(is_hot, salt).otherwise(0))
+        .join(salted, [key, "_salt"], "left")
+        .drop("_salt")
+    )
