@@ -193,7 +193,7 @@ def _dimensions(n: str, earlier: str | None = None) -> str:
     ]:
         start, new = "0", ""
         if earlier is not None:
-            start = f"(SELECT max({key}) FROM {name}{earlier})"
+            start = f"(SELECT coalesce(max({key}), 0) FROM {name}{earlier})"
             new = f"WHERE {natural} NOT IN (SELECT {natural} FROM {name}{earlier})"
         fresh = f"SELECT *, {start} + row_number() OVER (ORDER BY {natural}) AS {key} FROM ({rows}) {new}"
         if earlier is not None:
@@ -270,7 +270,7 @@ TWO_LOADS = ",\n".join([
     """loaded1 AS (SELECT *, row_number() OVER (ORDER BY event_id) AS detention_key
   FROM judged1 WHERE reason IS NULL)""",
     """loaded AS (SELECT * FROM loaded1 UNION ALL
-  SELECT *, (SELECT max(detention_key) FROM loaded1) + row_number() OVER (ORDER BY event_id)
+  SELECT *, (SELECT coalesce(max(detention_key), 0) FROM loaded1) + row_number() OVER (ORDER BY event_id)
   FROM judged2 WHERE reason IS NULL AND event_id NOT IN (SELECT event_id FROM loaded1))""",
 ])
 
@@ -457,7 +457,7 @@ def checks() -> dict[str, str]:
             'CAST(primary_charge_key AS BIGINT) AS primary_charge_key')} FROM keyed"""),
         "W07": on(ONE_LOAD, """SELECT jurisdiction, facility IS NULL AS defaulted, facility_key,
             count(*) AS bookings FROM keyed GROUP BY ALL"""),
-        "W08": on(f"{BASE},\n{_events('')}", "SELECT * FROM shaped"),
+        "W08": on(f"{BASE},\n{_events('')}", "SELECT *, NULL::VARCHAR AS sentence_type FROM shaped"),
         "W09": on(",\n".join([BASE, f"early AS (SELECT * FROM enriched WHERE booking_date_parsed < {CUT})",
                               f"known AS ({_people('early')})", _events("")]),
                   """SELECT jurisdiction, count(*) AS kept FROM events

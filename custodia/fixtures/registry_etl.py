@@ -138,6 +138,22 @@ def batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return batch(early, True), batch(~early, False)
 
 
+def stored(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Written once and read back: the load steps below read their bookings several times."""
+    return sinks.read_snapshot(
+        spark, sinks.write_snapshot(df, new_folder(spark, "snapshots"), AT, keep_latest=False)
+    )
+
+
+def stored_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, enriched(spark, sf_dir))
+
+
+def stored_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    first, second = batches(spark, sf_dir)
+    return stored(spark, first), stored(spark, second)
+
+
 def snapshot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "snapshots")
     snapshot = sinks.write_snapshot(enriched(spark, sf_dir), folder, AT)
@@ -150,11 +166,6 @@ def snapshot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stored_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = new_folder(spark, "snapshots")
-    return sinks.read_snapshot(spark, sinks.write_snapshot(enriched(spark, sf_dir), folder, AT))
-
-
 def stored_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "trends")
     sinks.write_trends(trends.target_counties(county_file(spark, sf_dir)), path)
@@ -230,7 +241,7 @@ def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- warehouse ----------------------------------------------------------------
 def geography_after_two(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first, second = batches(spark, sf_dir)
+    first, second = stored_batches(spark, sf_dir)
     return warehouse.upsert_geography(second, warehouse.upsert_geography(first))
 
 
@@ -238,7 +249,7 @@ def _added(step: Callable) -> Query:
     """A dimension that is only added to, after two batches."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        first, second = batches(spark, sf_dir)
+        first, second = stored_batches(spark, sf_dir)
         known = step(first)
         return known.unionByName(step(second, known))
 
@@ -258,17 +269,20 @@ def resolved_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_charge_key(per_code, charge_dimension(spark))
 
 
-def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows_ = enriched(spark, sf_dir)
+def keyed_rows(rows_: DataFrame) -> DataFrame:
     return warehouse.with_keys(
         warehouse.one_row_per_event(warehouse.projected(rows_)),
         warehouse.upsert_geography(rows_),
         warehouse.new_inmates(rows_),
         warehouse.new_facilities(rows_),
-        charge_dimension(spark),
+        charge_dimension(rows_.sparkSession),
     )
 
 
+def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed_rows(stored_enriched(spark, sf_dir))
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.one_row_per_event(warehouse.projected(enriched(spark, sf_dir)))
 
@@ -292,13 +306,13 @@ def projected(spark: SparkSession, sf_dir: str) -> DataFrame:
         "booking_date": "admitted_dt", "release_date": "discharge_date",
         "bail_set_amount": "bond_amount", "bail_type": "bond_type", "facility": "housed_in_facility",
     }
-    renamed = enriched(spark, sf_dir).withColumnsRenamed(other)
+    renamed = stored_enriched(spark, sf_dir).withColumnsRenamed(other)
     return warehouse.projected(renamed).drop("etl_batch_id", "etl_loaded_at")
 
 
 def kept_after_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only people booked in the first days are known, so the other bookings lack a key."""
-    rows_ = enriched(spark, sf_dir)
+    rows_ = stored_enriched(spark, sf_dir)
     early = rows_.filter(F.col("booking_date_parsed") < F.lit(CUT))
     with_gaps = warehouse.with_keys(
         warehouse.one_row_per_event(warehouse.projected(rows_)),
@@ -313,7 +327,7 @@ def kept_after_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def loaded_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches, the second one loaded again, which must change nothing."""
     root = new_folder(spark, "warehouse")
-    first, second = batches(spark, sf_dir)
+    first, second = stored_batches(spark, sf_dir)
     for batch in (first, second, second):
         star = load(spark, batch, root)
     return star.fact.select("event_id", "detention_key", F.col("jurisdiction").cast("string"))
@@ -336,8 +350,8 @@ def rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def key_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows_ = enriched(spark, sf_dir)
-    facts, people = keyed(spark, sf_dir), warehouse.new_inmates(rows_)
+    rows_ = stored_enriched(spark, sf_dir)
+    facts, people = keyed_rows(rows_), warehouse.new_inmates(rows_)
     places = warehouse.new_facilities(rows_)
     return quality.key_report(
         {
@@ -364,7 +378,7 @@ def defaulted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One batch loaded, then everything built anew from the other one."""
     root = new_folder(spark, "warehouse")
-    first, second = batches(spark, sf_dir)
+    first, second = stored_batches(spark, sf_dir)
     load(spark, first, root)
     fact = load(spark, second, root, rebuild=True).fact
     return fact.groupBy(F.col("jurisdiction").cast("string").alias("jurisdiction")).agg(
@@ -376,7 +390,7 @@ def rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "warehouse")
-    load(spark, enriched(spark, sf_dir), root)
+    load(spark, stored_enriched(spark, sf_dir), root)
     return spark.read.parquet(f"{root}/mv_innocence_by_jurisdiction")
 
 
@@ -405,7 +419,7 @@ def queries() -> dict[str, Query]:
         "S14": snapshot_counts,
         "S15": stored_trends,
         "S16": lambda s, d: counted(
-            stored_snapshot(s, d), "jurisdiction", "source_system", "age_bucket"
+            stored_enriched(s, d), "jurisdiction", "source_system", "age_bucket"
         ),
         "S17": charges_in_use,
         "T01": lambda s, d: intake.renamed(

@@ -148,6 +148,7 @@ def projected(bookings: DataFrame) -> DataFrame:
         pick(config.BAIL_TYPE_CANDIDATES).alias("bail_type"),
         paid.alias("bail_paid"),
         optional("case_disposition", "string").alias("case_disposition"),
+        optional("sentence_type", "string").alias("sentence_type"),
         optional("work_days_to_bail", "double").alias("work_days_to_bail"),
         optional("is_md_reform_case", "boolean").alias("is_md_reform_case"),
         optional("pretrial_derived", "boolean").alias("pretrial_derived"),
@@ -251,13 +252,6 @@ def with_defaults(rows: DataFrame, defaults: dict[str, object]) -> DataFrame:
 
 
 FACT_DEFAULTS = {"is_md_reform_case": False}
-FACT_COLUMNS = [
-    "detention_key", "event_id", "inmate_key", "facility_key", "home_geo_key",
-    "primary_charge_key", "booking_date", "release_date", "detention_length_days",
-    "bail_set_amount", "bail_type", "bail_paid", "pretrial_detention_flag", "work_days_to_bail",
-    "is_md_reform_case", "pretrial_derived", "case_disposition", "source_system",
-    "etl_batch_id", "etl_loaded_at", "jurisdiction",
-]
 
 
 def fact_candidates(
@@ -285,4 +279,4 @@ def new_facts(candidates: DataFrame, existing: DataFrame | None = None) -> DataF
     prefix, so no window runs over the whole batch.
     """
     start = _largest(existing, "detention_key")
-    return numbered(candidates, "event_id", "detention_key", start, digest=True).select(*FACT_COLUMNS)
+    return numbered(candidates, "event_id", "detention_key", start, digest=True)

@@ -13,6 +13,7 @@ import argparse
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from custodia import schemas
 from custodia.operators import quality, warehouse
 from custodia.operators.charges import charge_dimension
 from custodia.plans import marts
@@ -50,10 +51,13 @@ def load(spark: SparkSession, bookings: DataFrame, root: str, rebuild: bool = Fa
     old = {name: None if rebuild else _existing(spark, path[name]) for name in TABLES}
 
     zips = warehouse.upsert_geography(bookings, old["dim_geography"])
-    _rewrite(quality.valid(zips, quality.geography_rules()), path["dim_geography"])
+    zips = quality.valid(zips, quality.geography_rules())
+    _rewrite(schemas.conformed(zips, schemas.DIM_GEOGRAPHY), path["dim_geography"])
     people = warehouse.new_inmates(bookings, old["dim_inmate"])
-    _append(quality.valid(people, quality.inmate_rules()), path["dim_inmate"], rebuild)
-    _append(warehouse.new_facilities(bookings, old["dim_facility"]), path["dim_facility"], rebuild)
+    people = quality.valid(people, quality.inmate_rules())
+    _append(schemas.conformed(people, schemas.DIM_INMATE), path["dim_inmate"], rebuild)
+    places = warehouse.new_facilities(bookings, old["dim_facility"])
+    _append(schemas.conformed(places, schemas.DIM_FACILITY), path["dim_facility"], rebuild)
 
     loaded = old["fact_detention"]
     if loaded is not None:
@@ -79,7 +83,8 @@ def load(spark: SparkSession, bookings: DataFrame, root: str, rebuild: bool = Fa
     candidates = spark.read.parquet(staged)
     good = candidates.filter(F.col("reason").isNull())
     _append(candidates.filter(F.col("reason").isNotNull()), f"{root}/rejected", rebuild=True)
-    _append(warehouse.new_facts(good, loaded), path["fact_detention"], rebuild, "jurisdiction")
+    facts = schemas.conformed(warehouse.new_facts(good, loaded), schemas.FACT_DETENTION)
+    _append(facts, path["fact_detention"], rebuild, "jurisdiction")
     star = stored(spark, root)
     refresh(star, root)
     return star

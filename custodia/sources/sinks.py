@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from custodia.functions.clean import utc_now
 
 
-def write_snapshot(df: DataFrame, folder: str, at: datetime | None = None) -> str:
+def write_snapshot(
+    df: DataFrame, folder: str, at: datetime | None = None, keep_latest: bool = True
+) -> str:
     """A timestamped snapshot and a "latest" copy of it; returns the snapshot's path.
 
     The copy is made from the written files, so the job behind them runs once
@@ -19,7 +21,8 @@ def write_snapshot(df: DataFrame, folder: str, at: datetime | None = None) -> st
     stamp = (at or utc_now()).strftime("%Y%m%d_%H%M%S")
     snapshot = f"{folder}/enriched_{stamp}"
     df.write.mode("overwrite").parquet(snapshot)
-    df.sparkSession.read.parquet(snapshot).write.mode("overwrite").parquet(latest(folder))
+    if keep_latest:
+        df.sparkSession.read.parquet(snapshot).write.mode("overwrite").parquet(latest(folder))
     return snapshot
 
 
