@@ -9,16 +9,22 @@ from pyspark.sql import Column, functions as F
 from custodia import config
 
 
+LARGEST = 1.7976931348623157e308
+
+
 def number(text: Column) -> Column:
-    """A finite double, or null for anything that is not one (words, NaN, infinities)."""
+    """A finite double, or null for anything that is not one (words, NaN, infinities).
+
+    NaN compares as larger than every number, so one bound excludes it as well.
+    """
     value = text.try_cast("double")
-    return F.when(~F.isnan(value) & (F.abs(value) < F.lit(float("inf"))), value)
+    return F.when(F.abs(value) <= LARGEST, value)
 
 
 def count_or_null(text: Column) -> Column:
     """A census figure: negative sentinels and bad text become null."""
-    value = number(text)
-    return F.when(value >= 0, value)
+    value = text.try_cast("double")
+    return F.when((value >= 0) & (value <= LARGEST), value)
 
 
 def day(text: Column) -> Column:
@@ -33,8 +39,8 @@ def hashed(value: Column, salt: str) -> Column:
     return F.when(F.length(kept) > 0, digest).otherwise(F.lit(config.UNKNOWN_PERSON))
 
 
-def age_bucket(age: Column) -> Column:
-    years = number(age)
+def bucket_of(years: Column) -> Column:
+    """The age bucket of a number of years; not knowing it is a bucket of its own."""
     labels = config.AGE_BUCKETS
     bucket = F.when(years.isNull(), labels[-1])
     for upper, label in zip(config.AGE_BUCKET_STARTS, labels):
@@ -42,6 +48,10 @@ def age_bucket(age: Column) -> Column:
     return bucket.otherwise(labels[len(config.AGE_BUCKET_STARTS)])
 
 
+def age_bucket(age: Column) -> Column:
+    return bucket_of(number(age))
+
+
 def zip5(text: Column) -> Column:
     """First five characters of the trimmed code, left-padded with zeros; blank is null."""
     kept = F.substring(F.trim(text.cast("string")), 1, 5)

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, functions as F
 
 from custodia import config
-from custodia.functions.clean import age_bucket, hashed
+from custodia.functions.clean import bucket_of, hashed, number
 
 SALT_VARIABLE = "PII_SALT"
 
@@ -31,7 +31,9 @@ def bucket_ages(df: DataFrame) -> DataFrame:
     found = [name for name in config.AGE_COLUMNS if name in df.columns]
     if not found:
         return df
-    return df.withColumn("age_bucket", age_bucket(F.col(found[-1]))).drop(*found)
+    # The number is its own column, so that it is parsed once and not once per bucket.
+    years = df.withColumn("_years", number(F.col(found[-1])))
+    return years.withColumn("age_bucket", bucket_of(F.col("_years"))).drop("_years", *found)
 
 
 def refuse_personal_columns(df: DataFrame) -> DataFrame:
