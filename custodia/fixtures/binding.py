@@ -176,11 +176,11 @@ def star(spark: SparkSession, sf_dir: str, home: bool = True, since=None, until=
     """
     make = fact if home else bookings
     return Star(
-        fact=make(spark, sf_dir, since, until),
-        inmate=inmate(spark, sf_dir),
-        facility=facility(spark, sf_dir),
-        charges=charge_dimension(spark),
-        geography=geography(spark, sf_dir),
+        make_fact=lambda: make(spark, sf_dir, since, until),
+        make_inmate=lambda: inmate(spark, sf_dir),
+        make_facility=lambda: facility(spark, sf_dir),
+        make_charges=lambda: charge_dimension(spark),
+        make_geography=lambda: geography(spark, sf_dir),
     )
 
 

@@ -428,7 +428,7 @@ def checks() -> dict[str, str]:
               FROM enriched WHERE source_system = {DISCHARGES} AND inmate_id_hash <> 'UNKNOWN'
                 AND booking_date_parsed IS NOT NULL GROUP BY 1, 2) r
             ON r.inmate_id_hash = h.inmate_id_hash AND r.booking_date_parsed = h.booking_date_parsed"""),
-        "T25": on(INTAKE, custody.replace("SELECT ", "SELECT /* declared fields only */ ", 1)),
+        "T25": on(INTAKE, custody),
         "T26": f"""SELECT jurisdiction, year, coalesce(a, 0) AS register_deaths,
             coalesce(b, 0) AS other_deaths, coalesce(a, 0) - coalesce(b, 0) AS gap
             FROM (SELECT {j('user_id')} AS jurisdiction, year(ts) AS year, count(*) AS a FROM events

@@ -74,7 +74,7 @@ def upsert_geography(bookings: DataFrame, existing: DataFrame | None = None) ->
     return updated.select(*existing.columns).unionByName(added, allowMissingColumns=True)
 
 
-def new_inmates(bookings: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def unseen_inmates(bookings: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """The people not yet in the dimension, with the attributes of their first booking."""
     people = _with_missing(bookings, PERSON_ATTRIBUTES, "string")
     bucket = F.coalesce("age_bucket", F.lit(config.AGE_BUCKETS[-1])).alias("age_bucket")
@@ -83,9 +83,18 @@ def new_inmates(bookings: DataFrame, existing: DataFrame | None = None) -> DataF
         .agg(_first_seen(bucket, F.col("gender"), F.col("race_ethnicity")).alias("first"))
         .select("inmate_id_hash", *[f"first.{name}" for name in PERSON_ATTRIBUTES])
     )
-    added = _new_rows(batch, existing, "inmate_id_hash")
+    return _new_rows(batch, existing, "inmate_id_hash")
+
+
+def keyed_inmates(people: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """Keys for new people, going on from the largest one in use."""
     start = _largest(existing, "inmate_key")
-    return numbered(added, "inmate_id_hash", "inmate_key", start, digest=True)
+    return numbered(people, "inmate_id_hash", "inmate_key", start, digest=True)
+
+
+def new_inmates(bookings: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """W02 and W12 in one plan. A load writes the people between the two steps instead."""
+    return keyed_inmates(unseen_inmates(bookings, existing), existing)
 
 
 def default_facilities(spark: SparkSession) -> DataFrame:

@@ -93,6 +93,21 @@ def fixed_bail(mart: DataFrame) -> DataFrame:
     )
 
 
+def pipeline_zone() -> Column:
+    """Both the eviction rate and the bail gap in their top quarter within the jurisdiction.
+
+    Only ZIPs with a known eviction rate take part; the others are never in the zone.
+    """
+    area = Window.partitionBy("jurisdiction")
+    eviction = F.col("eviction_rate_per_100")
+    tenths = where(eviction.isNotNull(), F.round(F.col("avg_work_days_to_bail") * 10))
+
+    def high(value: Column) -> Column:
+        return value >= F.percentile(value, F.lit(0.75)).over(area)
+
+    return F.coalesce(high(eviction) & high(tenths), F.lit(False))
+
+
 def against_eviction(star: Star, mart: DataFrame) -> DataFrame:
     """Q12: ZIPs where both evictions and the bail gap are in the top quarter (from M1)."""
     zips = star.geography.filter(F.col("eviction_rate_per_100").isNotNull()).select(
@@ -102,17 +117,13 @@ def against_eviction(star: Star, mart: DataFrame) -> DataFrame:
     gap = mart.select("zip_code", "avg_work_days_to_bail", "pretrial_rate_pct", "total_bookings")
     area = Window.partitionBy("jurisdiction")
     eviction, work = F.col("eviction_rate_per_100"), F.col("avg_work_days_to_bail")
-    tenths = F.round(work * 10)
-    both_high = (eviction >= F.percentile(eviction, F.lit(0.75)).over(area)) & (
-        tenths >= F.percentile(tenths, F.lit(0.75)).over(area)
-    )
     return (
         zips.join(gap, "zip_code")
         .withColumns(
             {
                 "eviction_rank": F.rank().over(area.orderBy(eviction.desc())).cast("long"),
                 "bail_gap_rank": F.rank().over(area.orderBy(work.desc_nulls_first())).cast("long"),
-                "housing_to_jail_pipeline_zone": F.coalesce(both_high, F.lit(False)),
+                "housing_to_jail_pipeline_zone": pipeline_zone(),
             }
         )
         .orderBy("jurisdiction", eviction.desc())

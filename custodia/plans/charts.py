@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from custodia import config
 from custodia.functions.clean import as_date, label_by_upper_limit
 from custodia.functions.grouping import fold
-from custodia.functions.measures import rows, mean, pct, ratio, share, where
+from custodia.functions.measures import mean, pct, ratio, rows, share
 from custodia.plans import addiction, bail_gap, common as c, conditions, innocence, marts, plea, reform
 from custodia.plans.star import Star
 
@@ -48,18 +48,11 @@ def charge_mix(star: Star, as_of=None) -> DataFrame:
 def bail_gap_map(star: Star) -> DataFrame:
     """The ZIP map's colour, bubble and tooltip values, with the eviction overlap."""
     mart = marts.bail_gap_by_zip(star)
-    overlap = bail_gap.against_eviction(star, mart).select(
-        "zip_code", "housing_to_jail_pipeline_zone"
-    )
-    return (
-        mart.join(overlap, "zip_code", "left")
-        .select(
-            "zip_code", "jurisdiction", "median_household_income", "avg_bail_amount",
-            "avg_work_days_to_bail", "eviction_rate_per_100", "total_bookings",
-            F.coalesce("housing_to_jail_pipeline_zone", F.lit(False)).alias("pipeline_zone"),
-        )
-        .orderBy("zip_code")
-    )
+    return mart.select(
+        "zip_code", "jurisdiction", "median_household_income", "avg_bail_amount",
+        "avg_work_days_to_bail", "eviction_rate_per_100", "total_bookings",
+        bail_gap.pipeline_zone().alias("pipeline_zone"),
+    ).orderBy("zip_code")
 
 
 def fixed_bail_bars(star: Star) -> DataFrame:

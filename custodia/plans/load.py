@@ -30,11 +30,15 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _staged(df: DataFrame, path: str) -> DataFrame:
+    """Written next to the tables and read back, so that nothing before it runs again."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _rewrite(df: DataFrame, path: str) -> None:
     """Replace a small table that ``df`` itself may be read from."""
-    staged = f"{path}_next"
-    df.write.mode("overwrite").parquet(staged)
-    df.sparkSession.read.parquet(staged).write.mode("overwrite").parquet(path)
+    _staged(df, f"{path}_next").write.mode("overwrite").parquet(path)
 
 
 def _append(df: DataFrame, path: str, rebuild: bool, *partition_by: str) -> None:
@@ -53,8 +57,10 @@ def load(spark: SparkSession, bookings: DataFrame, root: str, rebuild: bool = Fa
     zips = warehouse.upsert_geography(bookings, old["dim_geography"])
     zips = quality.valid(zips, quality.geography_rules())
     _rewrite(schemas.conformed(zips, schemas.DIM_GEOGRAPHY), path["dim_geography"])
-    people = warehouse.new_inmates(bookings, old["dim_inmate"])
+    # Numbering reads its rows twice (counts, then ranks), so they are written before it.
+    people = _staged(warehouse.unseen_inmates(bookings, old["dim_inmate"]), f"{root}/dim_inmate_next")
     people = quality.valid(people, quality.inmate_rules())
+    people = warehouse.keyed_inmates(people, old["dim_inmate"])
     _append(schemas.conformed(people, schemas.DIM_INMATE), path["dim_inmate"], rebuild)
     places = warehouse.new_facilities(bookings, old["dim_facility"])
     _append(schemas.conformed(places, schemas.DIM_FACILITY), path["dim_facility"], rebuild)
@@ -78,9 +84,7 @@ def load(spark: SparkSession, bookings: DataFrame, root: str, rebuild: bool = Fa
         quality.fact_rules(),
     )
     # Written once, then split: both results would otherwise repeat every join above.
-    staged = f"{root}/fact_detention_next"
-    judged.write.mode("overwrite").parquet(staged)
-    candidates = spark.read.parquet(staged)
+    candidates = _staged(judged, f"{root}/fact_detention_next")
     good = candidates.filter(F.col("reason").isNull())
     _append(candidates.filter(F.col("reason").isNotNull()), f"{root}/rejected", rebuild=True)
     facts = schemas.conformed(warehouse.new_facts(good, loaded), schemas.FACT_DETENTION)

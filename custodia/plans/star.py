@@ -2,28 +2,68 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from custodia.operators.charges import charge_dimension
 
+Maker = Callable[[], DataFrame]
+
 
 @dataclass(frozen=True)
 class Star:
-    fact: DataFrame
-    inmate: DataFrame
-    facility: DataFrame
-    charges: DataFrame
-    geography: DataFrame
+    """Tables are looked up on first use: a report touches only the files it needs."""
+
+    make_fact: Maker
+    make_inmate: Maker
+    make_facility: Maker
+    make_charges: Maker
+    make_geography: Maker
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return self.make_fact()
+
+    @cached_property
+    def inmate(self) -> DataFrame:
+        return self.make_inmate()
+
+    @cached_property
+    def facility(self) -> DataFrame:
+        return self.make_facility()
+
+    @cached_property
+    def charges(self) -> DataFrame:
+        return self.make_charges()
+
+    @cached_property
+    def geography(self) -> DataFrame:
+        return self.make_geography()
+
+
+def of_tables(
+    fact: DataFrame,
+    inmate: DataFrame,
+    facility: DataFrame,
+    charges: DataFrame,
+    geography: DataFrame,
+) -> Star:
+    return Star(lambda: fact, lambda: inmate, lambda: facility, lambda: charges, lambda: geography)
 
 
 def stored(spark: SparkSession, root: str) -> Star:
     """The star schema written by the warehouse load under ``root``."""
+
+    def table(name: str) -> Maker:
+        return lambda: spark.read.parquet(f"{root}/{name}")
+
     return Star(
-        fact=spark.read.parquet(f"{root}/fact_detention"),
-        inmate=spark.read.parquet(f"{root}/dim_inmate"),
-        facility=spark.read.parquet(f"{root}/dim_facility"),
-        charges=charge_dimension(spark),
-        geography=spark.read.parquet(f"{root}/dim_geography"),
+        make_fact=table("fact_detention"),
+        make_inmate=table("dim_inmate"),
+        make_facility=table("dim_facility"),
+        make_charges=lambda: charge_dimension(spark),
+        make_geography=table("dim_geography"),
     )
