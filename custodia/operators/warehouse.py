@@ -74,6 +74,14 @@ def upsert_geography(bookings: DataFrame, existing: DataFrame | None = None) ->
     return updated.select(*existing.columns).unionByName(added, allowMissingColumns=True)
 
 
+def current_geography(history: DataFrame) -> DataFrame:
+    """The newest stored row of each ZIP. Loads only add rows, so one that stops half-way
+    leaves every ZIP with either its old or its new figures, never without any."""
+    names = [name for name in history.columns if name not in ("zip_code", "load_no")]
+    newest = F.max(F.struct("load_no", *names)).alias("row")
+    return history.groupBy("zip_code").agg(newest).select("zip_code", *[f"row.{n}" for n in names])
+
+
 def unseen_inmates(bookings: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """The people not yet in the dimension, with the attributes of their first booking."""
     people = _with_missing(bookings, PERSON_ATTRIBUTES, "string")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from custodia.functions.grouping import roll_up
-from custodia.functions.measures import rows, average, averaged, mean, pct, where
+from custodia.functions.measures import average, averaged, mean, pct, rows, where
 from custodia.plans import common as c
 from custodia.plans.star import Star
 

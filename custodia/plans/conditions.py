@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from custodia.functions.clean import as_date
 from custodia.functions.grouping import fold
-from custodia.functions.measures import rows, average, averaged, pct, ratio
+from custodia.functions.measures import average, averaged, pct, ratio, rows
 from custodia.plans import common as c
 from custodia.plans.star import Star
 

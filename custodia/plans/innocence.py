@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from custodia import config
 from custodia.functions.grouping import fold, roll_up
-from custodia.functions.measures import rows, average, averaged, pct, where
+from custodia.functions.measures import average, averaged, pct, rows
 from custodia.plans import common as c
 from custodia.plans.star import Star
 

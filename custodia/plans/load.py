@@ -2,8 +2,8 @@
 
     python -m custodia.plans.load --snapshot DIR --warehouse DIR [--rebuild]
 
-People, facilities and facts are only ever added to, so they are appended;
-the geography (one row per ZIP) and the two marts are written anew.
+All tables are only ever added to; a ZIP with new figures gets a new row. The two
+marts are written anew.
 """
 
 from __future__ import annotations
@@ -36,15 +36,17 @@ def _staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _rewrite(df: DataFrame, path: str) -> None:
-    """Replace a small table that ``df`` itself may be read from."""
-    _staged(df, f"{path}_next").write.mode("overwrite").parquet(path)
-
-
 def _append(df: DataFrame, path: str, rebuild: bool, *partition_by: str) -> None:
     df.write.mode("overwrite" if rebuild else "append").partitionBy(*partition_by).parquet(path)
 
 
+def _by_date(facts: DataFrame) -> DataFrame:
+    """Files that each hold a short span of days, so that a report's date limit skips most of
+    them. The key as last range column splits days that hold very many bookings."""
+    order = ["jurisdiction", "booking_date", "detention_key"]
+    return facts.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def load(spark: SparkSession, bookings: DataFrame, root: str, rebuild: bool = False) -> Star:
     """One batch into the warehouse under ``root`` (W01-W17). Safe to run again.
 
@@ -54,9 +56,16 @@ def load(spark: SparkSession, bookings: DataFrame, root: str, rebuild: bool = Fa
     path = {name: f"{root}/{name}" for name in TABLES}
     old = {name: None if rebuild else _existing(spark, path[name]) for name in TABLES}
 
-    zips = warehouse.upsert_geography(bookings, old["dim_geography"])
-    zips = quality.valid(zips, quality.geography_rules())
-    _rewrite(schemas.conformed(zips, schemas.DIM_GEOGRAPHY), path["dim_geography"])
+    history = old["dim_geography"]
+    current = None if history is None else warehouse.current_geography(history)
+    zips = quality.valid(warehouse.upsert_geography(bookings, current), quality.geography_rules())
+    zips = schemas.conformed(zips, schemas.DIM_GEOGRAPHY)
+    load_no = F.lit(1)
+    if history is not None:
+        zips = zips.exceptAll(current.select(*zips.columns))
+        load_no = history.agg(F.coalesce(F.max("load_no"), F.lit(0)) + 1).scalar()
+    _append(zips.withColumn("load_no", load_no), path["dim_geography"], rebuild)
+
     # Numbering reads its rows twice (counts, then ranks), so they are written before it.
     people = _staged(warehouse.unseen_inmates(bookings, old["dim_inmate"]), f"{root}/dim_inmate_next")
     people = quality.valid(people, quality.inmate_rules())
@@ -75,7 +84,7 @@ def load(spark: SparkSession, bookings: DataFrame, root: str, rebuild: bool = Fa
     judged = quality.judged(
         warehouse.fact_candidates(
             bookings,
-            spark.read.parquet(path["dim_geography"]),
+            warehouse.current_geography(spark.read.parquet(path["dim_geography"])),
             spark.read.parquet(path["dim_inmate"]),
             spark.read.parquet(path["dim_facility"]),
             charge_dimension(spark),
@@ -88,7 +97,7 @@ def load(spark: SparkSession, bookings: DataFrame, root: str, rebuild: bool = Fa
     good = candidates.filter(F.col("reason").isNull())
     _append(candidates.filter(F.col("reason").isNotNull()), f"{root}/rejected", rebuild=True)
     facts = schemas.conformed(warehouse.new_facts(good, loaded), schemas.FACT_DETENTION)
-    _append(facts, path["fact_detention"], rebuild, "jurisdiction")
+    _append(_by_date(facts), path["fact_detention"], rebuild, "jurisdiction")
     star = stored(spark, root)
     refresh(star, root)
     return star

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from custodia import config
 from custodia.functions.grouping import roll_up, tiled
-from custodia.functions.measures import rows, average, averaged, mean, pct, ratio, share
+from custodia.functions.measures import average, averaged, mean, pct, ratio, rows, share
 from custodia.plans import common as c
 from custodia.plans.star import Star
 

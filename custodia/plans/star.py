@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from custodia.operators.charges import charge_dimension
+from custodia.operators.warehouse import current_geography
 
 Maker = Callable[[], DataFrame]
 
@@ -65,5 +66,5 @@ def stored(spark: SparkSession, root: str) -> Star:
         make_inmate=table("dim_inmate"),
         make_facility=table("dim_facility"),
         make_charges=lambda: charge_dimension(spark),
-        make_geography=table("dim_geography"),
+        make_geography=lambda: current_geography(table("dim_geography")()),
     )

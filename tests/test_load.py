@@ -43,6 +43,36 @@ def test_loading_again_changes_nothing(spark, loaded):
         assert sorted(numbers) == list(range(1, len(numbers) + 1))
 
 
+def test_stored_files_hold_short_spans_of_days(spark, loaded):
+    fact = stored(spark, loaded[0]).fact
+    spans = fact.groupBy(F.input_file_name().alias("file")).agg(
+        F.min("booking_date").alias("first"), F.max("booking_date").alias("last"), F.first("jurisdiction").alias("place")
+    ).collect()
+    by_place = {}
+    for span in spans:
+        by_place.setdefault(span.place, []).append((span.first, span.last))
+    # Within one load and place the spans follow each other; two loads were made here.
+    for place, ordered in by_place.items():
+        overlaps = sum(a[1] > b[0] for a, b in zip(sorted(ordered), sorted(ordered)[1:]))
+        assert overlaps <= 1, place
+
+
+def test_new_figures_replace_old_ones_under_the_same_key(spark, tmp_path):
+    first, second = etl.stored_batches(spark, SF)
+    load(spark, first, str(tmp_path))
+    known = dict(keys(spark, str(tmp_path))["geo"])
+    later = first.withColumn("median_household_income", F.lit(1.0)).withColumn("pct_black", F.lit(2.0))
+    load(spark, later, str(tmp_path))
+    load(spark, second, str(tmp_path))
+    star = stored(spark, str(tmp_path))
+    assert known.items() <= dict(keys(spark, str(tmp_path))["geo"]).items()
+    seen_again = {r.zip_code for r in second.select("zip_code").distinct().collect()}
+    for row in star.geography.filter(F.col("zip_code").isin(list(known))).collect():
+        assert row.pct_black != 2.0
+        assert row.zip_code in seen_again or row.median_household_income == 1.0
+    assert star.geography.count() == star.geography.select("zip_code").distinct().count()
+
+
 def test_marts_add_up_to_the_facts(spark, loaded):
     root, _ = loaded
     star = stored(spark, root)
@@ -68,11 +98,9 @@ def test_every_report_runs_on_the_stored_tables(spark, loaded):
         marts.innocence_by_jurisdiction(star),
     ]
     for report in reports:
-        for name in report.columns:
-            if name.startswith("pct_") and "share" not in name:
-                values = [r[0] for r in report.select(name).collect() if r[0] is not None]
-                assert all(v >= 0 for v in values)
-        report.collect()
+        shares = [n for n in report.columns if n.startswith("pct_") or n.endswith("_rate")]
+        for row in report.collect():
+            assert all(0 <= row[n] <= 100 for n in shares if row[n] is not None)
 
 
 def test_unknown_people_are_kept_apart(spark):

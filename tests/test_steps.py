@@ -88,6 +88,16 @@ def test_county_codes_are_padded_and_files_must_exist(spark, tmp_path):
         sinks.read_snapshot(spark, str(tmp_path / "missing"))
 
 
+def test_yearly_shares_of_states_with_means_around_the_reform(spark):
+    states = spark.createDataFrame(
+        [(2015, "MD", 100.0, 60.0), (2016, "MD", 100.0, 61.0), (2017, "MD", 100.0, 40.0), (2018, "MD", 0.0, 5.0)],
+        landing.STATE_SCHEMA,
+    )
+    got = {r.year: r for r in trends.yearly_shares(states, "state_abbr").collect()}
+    assert [got[y].pretrial_share for y in (2015, 2017, 2018)] == [60.0, 40.0, None]
+    assert {(r.mean_before_reform, r.mean_since_reform) for r in got.values()} == {(60.5, 40.0)}
+
+
 def test_evictions_fill_known_zips_only(spark, tmp_path):
     (tmp_path / "e.csv").write_text("zip,eviction_rate,eviction_filing_rate,low_income_renter_pct\n601,2.5,4.0,30\n")
     geography = spark.createDataFrame([("00601", 9.0), ("10001", 9.0)], "zip_code string, eviction_rate_per_100 double")
