@@ -60,11 +60,13 @@ def _charts() -> dict[str, Query]:
     year = dict(since=LAST_YEAR)
     window = dict(since=config.REFORM_WINDOW[0], until=config.REFORM_WINDOW[1])
     return {
-        "C01": _on_star(charts.innocence_bar, home=False),
+        "C01": _on_star(
+            lambda s: charts.innocence_bar(marts.innocence_by_jurisdiction(s)), home=False
+        ),
         "C02": _on_star(lambda s: charts.bail_wall(s, AS_OF), home=False, **year),
         "C03": _on_star(lambda s: charts.charge_mix(s, AS_OF), **year),
-        "C04": _on_star(charts.bail_gap_map),
-        "C05": _on_star(charts.fixed_bail_bars),
+        "C04": _on_star(lambda s: charts.bail_gap_map(marts.bail_gap_by_zip(s))),
+        "C05": _on_star(lambda s: charts.fixed_bail_bars(marts.bail_gap_by_zip(s))),
         "C06": _on_star(charts.resolution_flow, home=False),
         "C07": _on_star(charts.plea_curve, since=config.PLEA_SINCE),
         "C08": _on_star(charts.addiction_by_year, home=False, since=config.PLEA_SINCE),

@@ -8,14 +8,14 @@ from custodia import config
 from custodia.functions.clean import as_date, label_by_upper_limit
 from custodia.functions.grouping import fold
 from custodia.functions.measures import mean, pct, ratio, rows, share
-from custodia.plans import addiction, bail_gap, common as c, conditions, innocence, marts, plea, reform
+from custodia.plans import addiction, bail_gap, common as c, conditions, innocence, plea, reform
 from custodia.plans.star import Star
 
 
-def innocence_bar(star: Star) -> DataFrame:
-    """Held pretrial against everybody else, one row per bar segment."""
+def innocence_bar(mart: DataFrame) -> DataFrame:
+    """Held pretrial against everybody else, one row per bar segment (from M2)."""
     held, total = F.col("legally_innocent"), F.col("total_detained")
-    segments = marts.innocence_by_jurisdiction(star).select(
+    segments = mart.select(
         "jurisdiction", held.alias("Pretrial"), (total - held).alias("Post-conviction")
     )
     return segments.unpivot("jurisdiction", ["Pretrial", "Post-conviction"], "status", "people")
@@ -45,9 +45,8 @@ def charge_mix(star: Star, as_of=None) -> DataFrame:
     )
 
 
-def bail_gap_map(star: Star) -> DataFrame:
-    """The ZIP map's colour, bubble and tooltip values, with the eviction overlap."""
-    mart = marts.bail_gap_by_zip(star)
+def bail_gap_map(mart: DataFrame) -> DataFrame:
+    """The ZIP map's colour, bubble and tooltip values, with the eviction overlap (from M1)."""
     return mart.select(
         "zip_code", "jurisdiction", "median_household_income", "avg_bail_amount",
         "avg_work_days_to_bail", "eviction_rate_per_100", "total_bookings",
@@ -55,10 +54,10 @@ def bail_gap_map(star: Star) -> DataFrame:
     ).orderBy("zip_code")
 
 
-def fixed_bail_bars(star: Star) -> DataFrame:
-    """One bar per jurisdiction and bail amount, next to the minimum-wage line."""
+def fixed_bail_bars(mart: DataFrame) -> DataFrame:
+    """One bar per jurisdiction and bail amount, next to the minimum-wage line (from M1)."""
     amounts = [500, 1000, 5000]
-    wide = bail_gap.fixed_bail(marts.bail_gap_by_zip(star)).select(
+    wide = bail_gap.fixed_bail(mart).select(
         "jurisdiction", *[F.col(f"work_days_for_{a}_bail").alias(str(a)) for a in amounts]
     )
     bars = wide.unpivot("jurisdiction", [str(a) for a in amounts], "bail", "work_days")

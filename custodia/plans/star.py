@@ -68,3 +68,8 @@ def stored(spark: SparkSession, root: str) -> Star:
         make_charges=lambda: charge_dimension(spark),
         make_geography=lambda: current_geography(table("dim_geography")()),
     )
+
+
+def stored_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A mart as the last load left it: mv_bail_gap_by_zip or mv_innocence_by_jurisdiction."""
+    return spark.read.parquet(f"{root}/{name}")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from custodia import config
@@ -117,7 +117,7 @@ def read_all(
         try:
             rows = read_source(spark, source, paths[source.name], **limits)
             empty = rows.isEmpty()
-        except (AnalysisException, KeyError) as error:
+        except (PySparkException, KeyError) as error:
             log.warning("source %s skipped: %s", source.name, error)
             continue
         if empty:
