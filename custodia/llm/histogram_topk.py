@@ -70,8 +70,8 @@ def scores(p: dict, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return qid, vid, s, qid[:, None] != vid[None, :]
 
 
-def counted(pairs: DataFrame) -> DataFrame:
-    """(query_id, bin, n): scores in the bins of each query's range [lo, lo + BINS * width)."""
+def counted(pairs: DataFrame, span: int) -> DataFrame:
+    """(query_id, bin, n): scores in the bins of each query's range [lo, lo + span)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
@@ -80,7 +80,7 @@ def counted(pairs: DataFrame) -> DataFrame:
                 lo, width = np.asarray(p["lo"][i]), np.asarray(p["width"][i])
                 b = (s - lo[:, None]) // width[:, None]
                 b[~counts] = -1
-                k, inside = np.arange(len(qid))[:, None], (b >= 0) & (b < BINS)
+                k, inside = np.arange(len(qid))[:, None], (b >= 0) & (s < lo[:, None] + span)
                 n = np.bincount((k * BINS + b)[inside], minlength=len(qid) * BINS)
                 hit = np.flatnonzero(n)
                 yield pd.DataFrame({"query_id": qid[hit // BINS], "bin": hit % BINS, "n": n[hit]})
@@ -135,8 +135,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
         return blocks.join(places, ["dim", "vb"])
 
     while width > 1:
-        width = -(-width // BINS)
-        bins = counted(met(ranges, width)).groupBy("query_id", "bin").agg(F.sum("n").alias("n"))
+        span, width = width, -(-width // BINS)
+        bins = counted(met(ranges, width), span).groupBy("query_id", "bin").agg(F.sum("n").alias("n"))
         down = Window.partitionBy("query_id").orderBy(F.desc("bin"))
         bins = bins.withColumn("__above", F.coalesce(F.sum("n").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         bins = bins.join(ranges, "query_id")
@@ -151,12 +151,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
 def search_sql(k: int = 5, step: int = 50) -> str:
     return f"""
 with e as (
-  select vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) v
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) v
   from embeddings
   where vec_id is not null and embedding is not null and len(embedding) > 0
-    and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
 ), s as (
-  select q.vec_id query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) as bigint) score
+  select q.vec_id query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) score
   from e q join e c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % {step} = 0
 ), r as (
   select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) rank from s

@@ -188,8 +188,9 @@ def graded(docs: DataFrame, model: Model) -> DataFrame:
     """docs with tail_k = P(grade >= k) and expected_grade."""
     out = docs.withColumn("__tails", tails(model, F.col("text")))
     each = {f"tail_{k}": F.col("__tails")[k - 1] for k in range(1, model.grades)}
-    out = out.withColumns(each | {"expected_grade": F.round(sum(F.col("__tails")[k] for k in range(model.grades - 1)), 9)})
-    return out.drop("__tails")
+    each["expected_grade"] = F.round(sum(F.col("__tails")[k] for k in range(model.grades - 1)), 9)
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in each]
+    return out.select(*own, *[c.alias(k) for k, c in each.items()])
 
 
 def grades_of(labels: DataFrame) -> DataFrame:
@@ -201,5 +202,11 @@ def grades_of(labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame, at_least: float = 0.7, **settings) -> DataFrame:
     """docs with the tail probabilities and kept: the text has the top grade with this probability."""
+    return graded(docs, fit(docs, grades_of(labels), 3, **settings)).withColumn("kept", F.col("tail_2") >= at_least)
+
+
+def selected(docs: DataFrame, labels: DataFrame, at_least: float = 0.7, **settings) -> DataFrame:
+    """The rows of docs, with their own columns, that are accepted."""
     model = fit(docs, grades_of(labels), 3, **settings)
-    return graded(docs, model).withColumn("kept", F.col("tail_2") >= at_least)
+    out = docs.withColumn("__kept", tails(model, F.col("text"))[1] >= at_least).where("__kept")
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
