@@ -98,7 +98,7 @@ FACILITY = f"""fac AS (
     s_suppkey % 5 AS deaths_in_custody_ytd,
     (s_suppkey * 17) % 90 AS use_of_force_incidents_ytd,
     CASE WHEN s_suppkey % 4 <> 3 THEN 5 + s_suppkey * 3 END AS solitary_population
-  FROM supplier WHERE s_suppkey < 8)"""
+  FROM supplier)"""
 
 INMATE = """inm AS (
   SELECT c_custkey + 1 AS inmate_key,
@@ -116,7 +116,7 @@ FACT = f"""fact AS (
     round(10e0 * round(bail * 100) / round(g.median_daily_income * 100)) / 10e0 AS work_days
   FROM (
     SELECT o_orderkey + 1 AS detention_key, o_custkey + 1 AS inmate_key,
-      o_orderkey % 8 + 1 AS facility_key, c_nationkey + 1 AS home_geo_key,
+      o_orderkey % (SELECT count(*) FROM supplier) + 1 AS facility_key, c_nationkey + 1 AS home_geo_key,
       (o_orderkey * 7 + o_custkey) % 54 + 1 AS charge_key,
       {j('o_orderkey')} AS jurisdiction,
       CAST(o_orderdate AS DATE) + 7305 AS booking_date,
@@ -469,7 +469,7 @@ DEATHS = f"""deaths AS (
     ['Natural', 'Suicide', 'Homicide', 'Accident', 'Unknown'][event_id % 5 + 1] AS manner_of_death,
     ['Pretrial', 'Sentenced', 'Unknown'][event_id % 3 + 1] AS conviction_status,
     CAST(floor(value) AS INTEGER) AS days_detained
-  FROM events WHERE event_type = 'error')"""
+  FROM events)"""
 
 C01 = """
 SELECT jurisdiction, 'Pretrial' AS status, legally_innocent AS people FROM m2

@@ -229,13 +229,13 @@ def timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = binding.table(spark, sf_dir, "events").select(
-        "event_type",
+        "event_id",
         binding.jurisdiction(F.col("user_id")).alias("jurisdiction"),
         F.col("ts").cast("date").alias("death_date"),
     )
     return trends.reconciled_deaths(
-        events.filter(F.col("event_type") == "error"),
-        events.filter(F.col("event_type") == "purchase"),
+        events.filter(F.col("event_id") % 2 == 0),
+        events.filter(F.col("event_id") % 2 == 1),
     )
 
 

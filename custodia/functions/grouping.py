@@ -53,8 +53,6 @@ def _tile(position: Column, total: Column, tiles: int) -> Column:
 
 # Spreads equal values of a tile's sort column. A prime keeps it even for any key pattern.
 TIE_BUCKETS = 65521
-# Five numbers per row: a million rows stay well below an executor's memory.
-BROADCAST_ROWS = 1_000_000
 
 
 def tiled(
@@ -64,7 +62,6 @@ def tiled(
     key: str,
     tiles: int,
     measures: Mapping[str, Column],
-    value_bound: int | None = None,
 ) -> DataFrame:
     """Additive ``measures`` per (``partition``, NTILE(``tiles``) over ``order``).
 
@@ -74,12 +71,8 @@ def tiled(
     straddle a tile edge are looked at more closely, first per tie bucket, then
     row by row inside the few tie buckets on an edge.
 
-    ``value_bound`` is a proven limit on the number of (partition, order) pairs.
-    Up to BROADCAST_ROWS the counts are sent to the rows; otherwise, or when no
-    bound is known, the join is left to the planner.
+    How the counts meet the rows is left to the planner, which knows their size.
     """
-    small = value_bound is not None and value_bound <= BROADCAST_ROWS
-    send = F.broadcast if small else lambda side: side
     place = Window.partitionBy(partition).orderBy(F.col(order).asc_nulls_last())
     counts = df.groupBy(partition, order).agg(F.count(F.lit(1)).alias("_n"))
     values = counts.select(
@@ -96,7 +89,7 @@ def tiled(
 
     bucket = F.when(F.col("_split"), F.pmod(F.col(key), F.lit(TIE_BUCKETS)))
     rows = df.join(
-        send(values),
+        values,
         (F.col(partition) == F.col("_p")) & F.col(order).eqNullSafe(F.col("_o")),
     ).withColumn("_bucket", bucket)
 
@@ -123,7 +116,7 @@ def tiled(
     split_rows = (
         rows.filter("_split")
         .join(
-            send(edges),
+            edges,
             (F.col("_p") == F.col("_ep"))
             & F.col("_o").eqNullSafe(F.col("_eo"))
             & (F.col("_bucket") == F.col("_eb")),

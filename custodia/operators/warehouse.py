@@ -174,7 +174,9 @@ def projected(bookings: DataFrame) -> DataFrame:
     )
 
 
-_EVENT = ["inmate_id_hash", "booking_date", "source_system"]
+_EVENT = ["inmate_id_hash", "booking_date", "source_system", "charge_code_raw", "facility", "bail_set_amount"]
+# What becomes known later, so that a repeated row that has it is the better one.
+_LATER = ["release_date", "bail_paid", "case_disposition"]
 _DETAILS = [
     "jurisdiction", "zip_code", "facility", "charge_code_raw", "release_date", "bail_set_amount",
     "bail_type", "bail_paid", "case_disposition", "work_days_to_bail", "is_md_reform_case",
@@ -183,11 +185,13 @@ _DETAILS = [
 
 
 def one_row_per_event(projected_rows: DataFrame) -> DataFrame:
-    """One row per person, booking date and source, with a digest ``event_id`` of them.
+    """One row per booking, with a digest ``event_id`` of what tells bookings apart: the person,
+    date and source, and the charge, facility and bail.
 
     A repeated load must not add the same booking twice. People without an
     identifier are not one person, so their rows are told apart by all details.
-    Of differing repeats the smallest row, column by column, is kept.
+    Of differing repeats one with a release, then one with a payment and a disposition is
+    kept; among those the smallest row, column by column.
     """
     unknown = F.col("inmate_id_hash") == config.UNKNOWN_PERSON
     cents = ["bail_set_amount", "work_days_to_bail"]
@@ -199,13 +203,14 @@ def one_row_per_event(projected_rows: DataFrame) -> DataFrame:
     person = F.concat_ws("|", *[text(name) for name in _EVENT])
     details = F.concat_ws("|", *[text(name) for name in _EVENT + _DETAILS])
     event_id = F.sha2(F.when(unknown, details).otherwise(person), 256)
-    ordered = _EVENT + _DETAILS
+    ordered = _EVENT + [name for name in _DETAILS if name not in _EVENT]
     ordered += [name for name in projected_rows.columns if name not in ordered]
+    missing = [F.col(name).isNull().alias(f"_no_{name}") for name in _LATER]
     return (
         projected_rows.withColumn("event_id", event_id)
         .groupBy("event_id")
-        .agg(F.min(F.struct(*ordered)).alias("kept"))
-        .select("event_id", "kept.*")
+        .agg(F.min(F.struct(*missing, *ordered)).alias("kept"))
+        .select("event_id", *[F.col(f"kept.{name}").alias(name) for name in ordered])
     )
 
 
@@ -230,7 +235,7 @@ def with_keys(
     people = inmates.select("inmate_id_hash", "inmate_key")
     placed = (
         with_charge_key(rows, charges)
-        .join(F.broadcast(homes), "zip_code", "left")  # five digits: at most 100,000 rows
+        .join(homes, "zip_code", "left")
         .withColumn("facility_id", facility_id(F.col("jurisdiction"), F.col("facility")))
         .join(places, "facility_id", "left")
         .join(F.broadcast(defaults), "jurisdiction", "left")  # one row per default facility

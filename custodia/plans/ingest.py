@@ -42,15 +42,16 @@ def run(
     since: int | None = None,
     as_of: date | None = None,
     sources=None,
+    whole_files: bool = False,
 ) -> str:
     """Read all sources, enrich, write the snapshot; returns its path."""
     chosen = landing.active_sources() if sources is None else sources
     paths = {source.name: f"{landing_root}/{source.dataset_id}" for source in chosen}
     bookings = landing.read_all(
-        spark, paths, chosen, since=since, as_of=as_of,
+        spark, paths, chosen, since=since, as_of=as_of, multi_line=whole_files,
         rename=lambda rows, source: intake.renamed(intake.only_declared(rows, source), source),
     )
-    context = census.context_by_zip(landing.read_census(spark, census_path)) if census_path else None
+    context = census.context_by_zip(landing.read_census(spark, census_path, whole_files)) if census_path else None
     return sinks.write_snapshot(enriched(bookings, context, privacy.salt_from_environment()), out)
 
 
@@ -60,9 +61,10 @@ def main() -> None:
     parser.add_argument("--census")
     parser.add_argument("--out", required=True)
     parser.add_argument("--since-days", type=int)
+    parser.add_argument("--whole-files", action="store_true", help="files hold one JSON array each")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("custodia-ingest").getOrCreate()
-    path = run(spark, args.landing, args.census, args.out, since=args.since_days)
+    path = run(spark, args.landing, args.census, args.out, since=args.since_days, whole_files=args.whole_files)
     written = spark.read.parquet(path)
     if "work_days_to_bail" in written.columns:
         metrics = coverage(written).first().asDict()

@@ -25,11 +25,23 @@ TABLES = ["dim_geography", "dim_inmate", "dim_facility", "fact_detention"]
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        return spark.read.parquet(path)
+        return spark.read.schema(schemas.STORED[path.rsplit("/", 1)[-1]]).parquet(path)
     except AnalysisException:
         return None
 
 
+def _next_load(spark: SparkSession, root: str) -> int:
+    """One more than the largest load number of a stored row, refused ones included."""
+    numbers = [0]
+    for name in ("dim_geography", "rejected"):
+        try:
+            rows = spark.read.schema("load_no int").parquet(f"{root}/{name}")
+        except AnalysisException:
+            continue
+        numbers.append(rows.agg(F.max("load_no")).first()[0] or 0)
+    return max(numbers) + 1
+
+
 def _staged(df: DataFrame, path: str) -> DataFrame:
     """Written next to the tables and read back, so that nothing before it runs again."""
     df.write.mode("overwrite").parquet(path)
@@ -60,10 +72,9 @@ def load(spark: SparkSession, bookings: DataFrame, root: str, rebuild: bool = Fa
     current = None if history is None else warehouse.current_geography(history)
     zips = quality.valid(warehouse.upsert_geography(bookings, current), quality.geography_rules())
     zips = schemas.conformed(zips, schemas.DIM_GEOGRAPHY)
-    load_no = F.lit(1)
+    load_no = F.lit(1 if rebuild else _next_load(spark, root))
     if history is not None:
         zips = zips.exceptAll(current.select(*zips.columns))
-        load_no = history.agg(F.coalesce(F.max("load_no"), F.lit(0)) + 1).scalar()
     _append(zips.withColumn("load_no", load_no), path["dim_geography"], rebuild)
 
     # Numbering reads its rows twice (counts, then ranks), so they are written before it.
@@ -84,9 +95,9 @@ def load(spark: SparkSession, bookings: DataFrame, root: str, rebuild: bool = Fa
     judged = quality.judged(
         warehouse.fact_candidates(
             bookings,
-            warehouse.current_geography(spark.read.parquet(path["dim_geography"])),
-            spark.read.parquet(path["dim_inmate"]),
-            spark.read.parquet(path["dim_facility"]),
+            warehouse.current_geography(_existing(spark, path["dim_geography"])),
+            _existing(spark, path["dim_inmate"]),
+            _existing(spark, path["dim_facility"]),
             charge_dimension(spark),
             known,
         ),
@@ -95,7 +106,8 @@ def load(spark: SparkSession, bookings: DataFrame, root: str, rebuild: bool = Fa
     # Written once, then split: both results would otherwise repeat every join above.
     candidates = _staged(judged, f"{root}/fact_detention_next")
     good = candidates.filter(F.col("reason").isNull())
-    _append(candidates.filter(F.col("reason").isNotNull()), f"{root}/rejected", rebuild=True)
+    refused = candidates.filter(F.col("reason").isNotNull()).withColumn("load_no", load_no)
+    _append(refused, f"{root}/rejected", rebuild)
     facts = schemas.conformed(warehouse.new_facts(good, loaded), schemas.FACT_DETENTION)
     _append(_by_date(facts), path["fact_detention"], rebuild, "jurisdiction")
     star = stored(spark, root)

@@ -10,8 +10,6 @@ from custodia.functions.measures import average, averaged, mean, pct, ratio, row
 from custodia.plans import common as c
 from custodia.plans.star import Star
 
-# Five-digit codes: the dimension can hold at most this many ZIPs.
-ZIP_LIMIT = 100_000
 QUINTILES = ["Poorest 20%", "Lower-Middle 20%", "Middle 20%", "Upper-Middle 20%", "Wealthiest 20%"]
 
 
@@ -92,7 +90,6 @@ def poverty_premium(star: Star) -> DataFrame:
         key="detention_key",
         tiles=len(QUINTILES),
         measures=measures,
-        value_bound=len(config.JURISDICTIONS) * ZIP_LIMIT,
     )
     label = F.element_at(F.array(*[F.lit(name) for name in QUINTILES]), F.col("tile").cast("int"))
     return quintiles.select(

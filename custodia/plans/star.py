@@ -8,6 +8,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from custodia import schemas
 from custodia.operators.charges import charge_dimension
 from custodia.operators.warehouse import current_geography
 
@@ -59,7 +60,9 @@ def stored(spark: SparkSession, root: str) -> Star:
     """The star schema written by the warehouse load under ``root``."""
 
     def table(name: str) -> Maker:
-        return lambda: spark.read.parquet(f"{root}/{name}")
+        # A table whose loads had no valid row has no file to take a schema from.
+        kind = schemas.STORED[name]
+        return lambda: spark.read.schema(kind).parquet(f"{root}/{name}")
 
     return Star(
         make_fact=table("fact_detention"),

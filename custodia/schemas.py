@@ -40,3 +40,11 @@ def conformed(df: DataFrame, ddl: str) -> DataFrame:
             for f in T.StructType.fromDDL(ddl).fields
         ]
     )
+
+
+STORED = {
+    "dim_geography": f"{DIM_GEOGRAPHY}, load_no int",
+    "dim_facility": DIM_FACILITY,
+    "dim_inmate": DIM_INMATE,
+    "fact_detention": FACT_DETENTION,
+}

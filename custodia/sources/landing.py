@@ -8,7 +8,7 @@ from datetime import date, datetime
 from functools import reduce
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from custodia import config
 from custodia.config import Source
@@ -23,34 +23,73 @@ def text_schema(names: Sequence[str]) -> T.StructType:
 
 def fields_of(source: Source) -> list[str]:
     """The raw fields worth reading: the mapped ones, or the court record's."""
-    return list(source.column_map) or config.COURT_COLUMNS
+    fields = list(source.column_map) or list(config.COURT_COLUMNS)
+    return fields if source.date_field in fields else [*fields, source.date_field]
+
+
+def clean_name(name: str, keep_hyphens: bool = False) -> str:
+    name = name.lower().strip().replace(" ", "_")
+    return name if keep_hyphens else name.replace("-", "_")
+
+
+def _picked(record: Column, fields: Sequence[str], keep_hyphens: bool) -> list[Column]:
+    """The fields of a map of text, whatever the case and spacing of its names."""
+    entries = F.map_entries(record)
+
+    def clean(key: Column) -> Column:
+        key = F.replace(F.trim(F.lower(key)), F.lit(" "), F.lit("_"))
+        return key if keep_hyphens else F.replace(key, F.lit("-"), F.lit("_"))
+
+    def found(name: str) -> Column:
+        same = F.filter(entries, lambda e: clean(e["key"]) == clean_name(name, keep_hyphens))
+        return F.coalesce(F.try_element_at(record, F.lit(name)), F.get(same, 0)["value"]).alias(name)
+
+    return [found(name) for name in fields]
+
+
+def record_maps(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """(value, record): every record as a map of text; record is null for what is not JSON.
+
+    Text that begins with a bracket is an array of records. ``multi_line`` reads whole files,
+    which hold one page of a bounded number of records each.
+    """
+    text = spark.read.text(path, wholetext=multi_line)
+    many = F.from_json("value", "array<map<string,string>>")
+    one = F.array(F.from_json("value", "map<string,string>"))
+    records = F.when(F.ltrim("value").startswith("["), many).otherwise(one)
+    lines = text.filter(F.trim("value") != "").select("value", records.alias("records"))
+    return lines.select("value", F.explode_outer("records").alias("record"), F.size("records").alias("_n")).filter("_n <> 0").drop("_n")
+
+
+def unreadable(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """The text of landed records that cannot be read."""
+    return record_maps(spark, path, multi_line).filter(F.col("record").isNull()).select("value")
 
 
 def read_records(
     spark: SparkSession, path: str, fields: Sequence[str], multi_line: bool = False
 ) -> DataFrame:
-    """Flat JSON records. ``multi_line`` is for files that hold one JSON array each."""
-    return spark.read.schema(text_schema(fields)).json(path, multiLine=multi_line)
+    """Flat JSON records, one a line or in arrays. ``multi_line`` is for files that spread one
+    array over lines. Records that cannot be read are left to ``unreadable``."""
+    records = record_maps(spark, path, multi_line).filter(F.col("record").isNotNull())
+    return records.select(*_picked(F.col("record"), fields, keep_hyphens=False))
 
 
 def read_features(
     spark: SparkSession, path: str, fields: Sequence[str], multi_line: bool = False
 ) -> DataFrame:
     """Pages of ``{"features": [{"attributes": {...}}]}``, one row per feature."""
-    feature = T.StructType([T.StructField("attributes", text_schema(fields))])
+    attributes = T.MapType(T.StringType(), T.StringType())
+    feature = T.StructType([T.StructField("attributes", attributes)])
     page = T.StructType([T.StructField("features", T.ArrayType(feature))])
     pages = spark.read.schema(page).json(path, multiLine=multi_line)
-    return pages.select(F.explode("features").alias("feature")).select("feature.attributes.*")
+    records = pages.select(F.explode("features.attributes").alias("record"))
+    return records.filter(F.col("record").isNotNull()).select(*_picked(F.col("record"), fields, keep_hyphens=True))
 
 
 def normalised(df: DataFrame, keep_hyphens: bool = False) -> DataFrame:
     """Lower-case column names with underscores; feature sources keep their hyphens."""
-
-    def clean(name: str) -> str:
-        name = name.lower().strip().replace(" ", "_")
-        return name if keep_hyphens else name.replace("-", "_")
-
-    return df.toDF(*[clean(name) for name in df.columns])
+    return df.toDF(*[clean_name(name, keep_hyphens) for name in df.columns])
 
 
 def since_days(df: DataFrame, date_field: str, days: int | None, as_of=None) -> DataFrame:
@@ -96,11 +135,15 @@ def read_source(
     since: int | None = None,
     as_of: date | None = None,
     extracted_at: datetime | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     read = read_features if source.kind == "features" else read_records
-    rows = normalised(read(spark, path, fields_of(source)), keep_hyphens=source.kind == "features")
-    if source.date_field in rows.columns:
-        rows = since_days(rows, source.date_field, since, as_of)
+    fields = fields_of(source)
+    rows = read(spark, path, fields, multi_line)
+    rows = normalised(rows, keep_hyphens=source.kind == "features")
+    rows = since_days(rows, source.date_field, since, as_of)
+    if source.date_field not in (list(source.column_map) or config.COURT_COLUMNS):
+        rows = rows.drop(source.date_field)  # read for the limit alone
     return tagged(rows, source, extracted_at)
 
 
@@ -145,15 +188,29 @@ EVICTION_SCHEMA = (
 )
 
 
+def read_csv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """The schema's columns by their names in the header, in whatever order and company; what is
+    no value of the type, and a column that the file lacks, is null."""
+    rows = spark.read.csv(path, header=True)
+    own = {clean_name(name): name for name in rows.columns}
+    return rows.select(
+        *[
+            (F.col(f"`{own[f.name]}`") if f.name in own else F.lit(None).cast("string"))
+            .try_cast(f.dataType).alias(f.name)
+            for f in T.StructType.fromDDL(ddl).fields
+        ]
+    )
+
+
 def read_county_trends(spark: SparkSession, path: str) -> DataFrame:
     """County trends; the county code is text padded to five digits."""
-    rows = spark.read.schema(COUNTY_SCHEMA).csv(path, header=True, enforceSchema=False)
+    rows = read_csv(spark, path, COUNTY_SCHEMA)
     return rows.withColumn("county_fips", F.lpad("county_fips", 5, "0"))
 
 
 def read_state_trends(spark: SparkSession, path: str) -> DataFrame:
     """State trends."""
-    return spark.read.schema(STATE_SCHEMA).csv(path, header=True, enforceSchema=False)
+    return read_csv(spark, path, STATE_SCHEMA)
 
 
 def read_census(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
@@ -174,13 +231,13 @@ def read_census(spark: SparkSession, path: str, whole_files: bool = False) -> Da
 
 def read_deaths(spark: SparkSession, path: str) -> DataFrame:
     """Deaths in custody; rows without a source get the register's name."""
-    rows = spark.read.schema(DEATHS_SCHEMA).csv(path, header=True, enforceSchema=False)
+    rows = read_csv(spark, path, DEATHS_SCHEMA)
     return rows.withColumn("source", F.coalesce("source", F.lit(config.DEATHS_SOURCE)))
 
 
 def read_evictions(spark: SparkSession, path: str) -> DataFrame:
     """Eviction rates per ZIP."""
-    rows = spark.read.schema(EVICTION_SCHEMA).csv(path, header=True, enforceSchema=False)
+    rows = read_csv(spark, path, EVICTION_SCHEMA)
     return rows.select(
         zip5(F.col("zip")).alias("zip_code"),
         F.col("eviction_rate").alias("eviction_rate_per_100"),

@@ -13,7 +13,8 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     root = tempfile.mkdtemp(prefix="custodia-")
     spark.sparkContext.setCheckpointDir(root)
@@ -21,5 +22,8 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A path that no other run uses."""
-    return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A path that no other run uses; what is there goes when the application ends."""
+    path = f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path

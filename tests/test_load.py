@@ -120,10 +120,29 @@ def test_unknown_people_are_kept_apart(spark):
     )
     events = warehouse.one_row_per_event(warehouse.projected(df)).collect()
     assert sorted((e.inmate_id_hash, e.charge_code_raw) for e in events) == [
-        ("UNKNOWN", "155"), ("UNKNOWN", "220.03"), ("p", "155"),
+        ("UNKNOWN", "155"), ("UNKNOWN", "220.03"), ("p", "155"), ("p", "220.03"),
     ]
 
 
+def test_of_repeats_the_released_one_is_kept(spark):
+    kind = "inmate_id_hash string, booking_date string, release_date string, source_system string, jurisdiction string"
+    rows = [("p", "2020-01-01", None, "s", "NYC"), ("p", "2020-01-01", "2020-02-01", "s", "NYC")]
+    (event,) = warehouse.one_row_per_event(warehouse.projected(spark.createDataFrame(rows, kind))).collect()
+    assert str(event.release_date) == "2020-02-01"
+
+
+def test_rejects_of_earlier_loads_stay_and_a_load_may_have_no_valid_row(spark, tmp_path):
+    first, second = etl.stored_batches(spark, SF)
+    bad = first.filter("inmate_id_hash <> 'UNKNOWN'").limit(20).withColumn("booking_date", F.lit("unreadable"))
+    bad = bad.withColumn("booking_date_parsed", F.lit(None).cast("date"))
+    star = load(spark, bad, str(tmp_path))
+    assert star.fact.count() == 0
+    n = spark.read.parquet(f"{tmp_path}/rejected").count()
+    load(spark, second, str(tmp_path))
+    kept = spark.read.parquet(f"{tmp_path}/rejected").groupBy("load_no").count().collect()
+    assert n > 0 and {r.load_no: r["count"] for r in kept}[1] == n
+
+
 def test_rebuild_starts_from_empty(spark, tmp_path):
     first, _ = etl.stored_batches(spark, SF)
     load(spark, first, str(tmp_path))

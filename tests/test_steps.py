@@ -43,6 +43,29 @@ def test_array_file_and_feature_file(spark, tmp_path):
     assert sorted(r.inmate_id for r in features.collect()) == ["7", "8"]
 
 
+def test_array_lines_other_case_and_corrupt_records(spark, tmp_path):
+    folder = tmp_path / "r"
+    folder.mkdir()
+    lines = ['[{"InmateID": 1, "Admitted_DT": "2021-08-01"}, {"inmateid": "2", "admitted_dt": "2021-07-30"}]', '{"inmateid": broken', '{"INMATEID": "3"}', "[]"]
+    (folder / "a.json").write_text("\n".join(lines))
+    got = landing.read_source(spark, CUSTODY, str(folder)).collect()
+    assert sorted((r.inmateid, r.admitted_dt) for r in got) == [("1", "2021-08-01"), ("2", "2021-07-30"), ("3", None)]
+    assert [r.value for r in landing.unreadable(spark, str(folder)).collect()] == ['{"inmateid": broken']
+
+
+def test_since_limit_of_a_feature_source(spark, tmp_path):
+    page = {"features": [{"attributes": {"Inmate_ID": "7", "report_date": "2015-01-01"}}, {"attributes": {"inmate_id": "8", "Report_Date": "2021-08-01"}}]}
+    (tmp_path / "p.json").write_text(json.dumps(page, indent=1))
+    got = landing.read_source(spark, DC, str(tmp_path), since=30, as_of=date(2021, 8, 2), multi_line=True)
+    assert [r.inmate_id for r in got.collect()] == ["8"] and "report_date" not in got.columns
+
+
+def test_csv_columns_are_read_by_name(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("more,State_Abbr,total_pretrial_custody,year,total_jail_pop\nx,MD,5,2020,10\ny,NY,bad,2021,7\n")
+    got = landing.read_state_trends(spark, str(tmp_path)).orderBy("year").collect()
+    assert [tuple(r) for r in got] == [(2020, "MD", 10.0, 5.0), (2021, "NY", 7.0, None)]
+
+
 def test_sources_that_fail_are_skipped_until_none_is_left(spark, tmp_path):
     good = tmp_path / "good"
     good.mkdir()
