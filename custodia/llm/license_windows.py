@@ -15,8 +15,7 @@ Only DataFrame and SQL functions are used. Words are letter or digit runs in low
 
 Nulls, empties, ties: null and empty texts, and texts shorter than a shingle, match nothing, as do
 templates shorter than a shingle (they are an error). Of windows that contain a template equally
-well the first counts. Repeated rows of one id are one document whose windows all count: rows are
-told apart by id and text. Rows without id are reported without id. No other column is used.
+well the first counts. Rows that share an id are one document whose windows all count. Rows without id are reported without id. No other column is used.
 """
 
 from __future__ import annotations
@@ -27,7 +26,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custodia.llm.common import let
+from custodia.llm.common import let, staged
 
 SHINGLE = 5
 LEAST = 0.8
@@ -114,27 +113,29 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     every = sorted({w for x in keys.values() for w in x})
     own = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     own = own.where(F.lower("text").rlike("|".join(map(re.escape, every))))
-    own = own.select("doc_id", F.xxhash64("text").alias("row"), text_words(F.col("text")).alias("w")).where(F.size("w") >= SHINGLE)
+    own = own.select("doc_id", text_words(F.col("text")).alias("w")).where(F.size("w") >= SHINGLE)
+    own = staged(own, "licensed")  # the texts that can match, read once for all scales
     found = None
     for s in sorted(set(scale.values())):
         names = [k for k in parts if scale[k] == s]
         n, wanted = bands_for(s), F.array(*[F.lit(w) for w in sorted({w for k in names for w in keys[k]})])
-        signs = spark.createDataFrame([(k, sorted(parts[k])) for k in names], "license string, shingles array<string>")
+        given = F.array(*[F.struct(F.lit(k).alias("license"), F.array(*map(F.lit, parts[k])).alias("shingles")) for k in names])
+        signs = spark.range(1).select(F.explode(given).alias("t")).select("t.license", "t.shingles")
         signs = signs.withColumn("mins", minimum_hashes(F.transform("shingles", lambda x: F.xxhash64(x)), n))
         # Windows: 2 S shingles (2 S + 2 words) every S words.
         cut = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil((F.size("w") - (SHINGLE - 1)) / s).cast("int") - 1)), lambda i: F.struct((i * s).alias("first"), F.slice("w", i * s + 1, 2 * s + SHINGLE - 1).alias("w")))
-        windows = own.where(F.arrays_overlap("w", wanted)).select("doc_id", "row", F.explode(F.filter(cut, lambda x: F.arrays_overlap(x["w"], wanted))).alias("x"))
-        windows = windows.select("doc_id", "row", "x.first", "x.w").where(F.size("w") >= SHINGLE)
+        windows = own.where(F.arrays_overlap("w", wanted)).select("doc_id", F.explode(F.filter(cut, lambda x: F.arrays_overlap(x["w"], wanted))).alias("x"))
+        windows = windows.select("doc_id", "x.first", "x.w").where(F.size("w") >= SHINGLE)
         spans = F.transform(F.sequence(F.lit(1), F.size("w") - SHINGLE + 1), lambda i: F.array_join(F.slice("w", i, SHINGLE), " "))
-        windows = windows.select("doc_id", "row", "first", F.size("w").alias("n_words"), F.array_distinct(spans).alias("own"))
+        windows = windows.select("doc_id", "first", F.size("w").alias("n_words"), F.array_distinct(spans).alias("own"))
         windows = windows.withColumn("mins", let(F.transform("own", lambda x: F.xxhash64(x)), lambda h: minimum_hashes(h, n)))
         # Templates are given with the call, a few for each band: their bands are a small table.
         bands = signs.select("license", F.posexplode("mins").alias("band", "value")).groupBy("band", "value").agg(F.collect_set("license").alias("names"))
-        hit = windows.select("doc_id", "row", "first", "n_words", "own", F.posexplode("mins").alias("band", "value")).join(F.broadcast(bands), ["band", "value"])
-        hit = hit.select("doc_id", "row", "first", "n_words", "own", F.explode("names").alias("license"))
+        hit = windows.select("doc_id", "first", "n_words", "own", F.posexplode("mins").alias("band", "value")).join(F.broadcast(bands), ["band", "value"])
+        hit = hit.select("doc_id", "first", "n_words", "own", F.explode("names").alias("license"))
         hit = hit.join(F.broadcast(signs.select("license", "shingles")), "license")
         shared = F.size(F.array_intersect("own", "shingles"))
-        hit = hit.select("doc_id", "row", "license", "first", (F.col("first") + F.col("n_words")).alias("last"), shared.cast("long").alias("shared"), F.size("shingles").cast("long").alias("shingles"))
+        hit = hit.select("doc_id", "license", "first", (F.col("first") + F.col("n_words")).alias("last"), shared.cast("long").alias("shared"), F.size("shingles").cast("long").alias("shingles"))
         hit = hit.where(F.col("shared") >= LEAST * F.col("shingles") - 1e-9)
         found = hit if found is None else found.union(hit)
     best = found.groupBy("doc_id", "license").agg(F.max("shingles").alias("shingles"), F.max(F.struct("shared", -F.col("first"), "last")).alias("b"))
