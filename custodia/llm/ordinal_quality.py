@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,17 +91,21 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_rows(rows: list[list[int]], grades: np.ndarray, n_grades: int, bits: int, penalty: float, steps: int, least: int) -> Model:
-    """Weights and thresholds of rows of buckets. Buckets of fewer than `least` rows get no weight."""
+def fit_rows(flat: np.ndarray, lengths: np.ndarray, grades: np.ndarray, n_grades: int, bits: int, penalty: float, steps: int, least: int) -> Model:
+    """Weights and thresholds of rows of buckets, one row after the other in flat.
+
+    Buckets of fewer than `least` rows get no weight.
+    """
     none = Model(bits, np.zeros(1 << bits), np.full(n_grades - 1, -40.0))
     if len(np.unique(grades)) < 2:
         return none
-    flat = np.concatenate([np.asarray(x, dtype=np.int64) for x in rows])
-    of = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
+    of = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
     often = np.bincount(flat, minlength=1 << bits) >= least
     flat, of = flat[often[flat]], of[often[flat]]
-    used, flat = np.unique(flat, return_inverse=True)
-    n = len(rows)
+    used = np.unique(flat)
+    place = np.zeros(1 << bits, dtype=np.int32)
+    place[used] = np.arange(len(used))
+    flat, n = place[flat], len(lengths)
     at_least = np.array([(grades >= k).mean() for k in range(1, n_grades)]).clip(1e-4, 1 - 1e-4)
     w, t = np.zeros(len(used)), -np.log(at_least / (1 - at_least))
     # The loss bends by 1/2 at most in s: a separable bound on it gives each weight its own safe step.
@@ -155,10 +160,12 @@ def fit(
         .groupBy("doc_id").agg(F.min("grade").alias("grade"), F.min_by("__b", F.xxhash64("__b")).alias("__b"))
         .select("doc_id", "grade", "__b").toArrow()
     )
-    order = np.argsort(sample["doc_id"].to_numpy(), kind="stable")
-    column = sample["__b"].to_pylist()
-    grades = sample["grade"].to_numpy().astype(np.int64)[order] if len(order) else np.array([], dtype=np.int64)
-    return fit_rows([column[i] for i in order], grades, n_grades, bits, penalty, steps, least)
+    if not sample.num_rows:
+        return fit_rows(np.array([], np.int32), np.array([], np.int64), np.array([], np.int64), n_grades, bits, penalty, steps, least)
+    sample = sample.sort_by("doc_id").combine_chunks()
+    lengths = pc.list_value_length(sample["__b"]).to_numpy()
+    flat = pc.list_flatten(sample["__b"]).to_numpy()
+    return fit_rows(flat, lengths, sample["grade"].to_numpy().astype(np.int64), n_grades, bits, penalty, steps, least)
 
 
 def tails(model: Model, text: Column) -> Column:
