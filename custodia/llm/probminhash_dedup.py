@@ -154,7 +154,7 @@ def candidates(nodes: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, shingles as bytes) of the nodes named in wanted (key), from their texts.
+    """(key, shingles as bytes) of the nodes named in wanted (key, first), from their texts.
 
     A bitmap of fixed size (2^24 bits) of the wanted keys' first bits spares most other texts.
     """
@@ -178,9 +178,11 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def blob(texts: pa.Array) -> pa.Array:
         return pa.array([np.unique(shingles(x.as_py())).tobytes() for x in texts], pa.binary())
 
-    rows = docs.select("text", key_of(F.col("text")).alias("key"))
-    rows = rows.where(likely("key")).select("key", blob("text").alias("s"))
-    return rows.join(wanted, "key", "left_semi").groupBy("key").agg(F.any_value("s").alias("s"))
+    # The row with a node's least id stands for it: copies have other ids, so they never meet in one task.
+    rows = docs.select(F.col("doc_id").alias("first"), "text", key_of(F.col("text")).alias("key"))
+    rows, only = rows.where(likely("key")), wanted.withColumnsRenamed({"key": "k", "first": "f"})
+    held = rows.join(only, (F.col("key") == F.col("k")) & F.col("first").eqNullSafe(F.col("f")))
+    return held.select("key", blob("text").alias("s")).groupBy("key").agg(F.any_value("s").alias("s"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -216,7 +218,7 @@ def classes(docs: DataFrame, least: float = 0.8) -> DataFrame:
     sketches = rows.select("key", "doc_id", banded("text").alias("bands"))
     nodes = staged(sketches.groupBy("key").agg(F.min("doc_id").alias("first"), F.any_value("bands").alias("bands")), "nodes")
     pairs = staged(candidates(nodes), "pairs")
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
+    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct().join(nodes.select("key", "first"), "key")
     sets = staged(sets_of(docs, staged(wanted, "wanted")), "sets")
     linked = components(staged(verified(pairs, sets, least), "verified"))
     named = nodes.select("key", "first").join(linked, "key", "left").withColumn("label", F.coalesce("label", "key"))
@@ -235,6 +237,7 @@ def deduplicated(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """One row of docs for each class: that with its least doc_id."""
     heads = classes(docs, least).where("key = head").select(F.col("key").alias("__key"), F.col("class_id").alias("__class"))
     own = docs.withColumn("__key", key_of(F.col("text")))
-    out = own.join(heads, "__key").where(F.col("doc_id").eqNullSafe(F.col("__class")))
+    # The id is part of the join's key, so that the copies of a text, with their texts, stay apart.
+    out = own.join(heads.withColumnRenamed("__key", "__k"), (F.col("__key") == F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__class")))
     one = Window.partitionBy("__key").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if dict(docs.dtypes)[c] != "variant" and "map" not in dict(docs.dtypes)[c]]))
     return out.withColumn("__n", F.row_number().over(one)).where("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
