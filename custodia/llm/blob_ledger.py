@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custodia.llm.common import staged
+from custodia.llm.common import small_batches, staged
 
 #: The base rules (pattern, group that counts, least length), in their order.
 BASE_RULES = {
@@ -110,6 +110,7 @@ def scan(docs: DataFrame, ledger: str | None = None, names: list[str] | None = N
     names = list(names or RULES)
     versions = {k: version(k) for k in names}
     spark, old = docs.sparkSession, None
+    small_batches(spark)
     kind = f"blob string, rule string, version string, findings {FINDINGS}"
     if ledger is not None:
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ledger)

@@ -33,6 +33,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Whole texts go to Python and back in Arrow batches of so many rows, unless the session says otherwise.
+
+    Spark's own 10,000 rows of long texts, their copies and the results take hundreds of MB of a worker.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(rows))
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """df, written to the shared folder and read again: cuts the lineage, survives lost executors.
 

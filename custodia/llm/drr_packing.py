@@ -30,10 +30,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from custodia.llm.common import staged
+from custodia.llm.common import small_batches, staged
 
 REST = 4096
-CACHE = 1_500_000
+#: Chunks that a worker remembers, about 200 bytes each.
+CACHE = 400_000
 #: Chunks whose tokens depend on nothing but letter runs, digits and symbols (no apostrophes, no
 #: special tokens, no character that normalizing could join or replace).
 PLAIN = re.compile(r"[a-z0-9!-&(-/:;=-@\[-`{-~ß-öø-ÿ]+")
@@ -217,6 +218,7 @@ PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 def pack(docs: DataFrame, path: str, end: int = 1, window: int = 2048, quantum: int = 32, with_ids: bool = False) -> DataFrame:
     """Pieces of all documents: where each lies in its document and in which sequence."""
+    small_batches(docs.sparkSession)
     held = staged(tokenized(docs, path, end), "tokens")
     sums = staged(held.groupBy("part", "source").agg(F.sum("n").alias("n")), "sums")
     total = sums.agg(F.sum("n")).first()[0] or 0

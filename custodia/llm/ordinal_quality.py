@@ -26,6 +26,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from custodia.llm.common import small_batches
+
 #: Lower case, and ASCII punctuation as blanks.
 PLAIN = bytes(
     b + 32 if 65 <= b <= 90 else 32 if b < 128 and not (48 <= b <= 57 or 97 <= b <= 122) else b
@@ -34,7 +36,8 @@ PLAIN = bytes(
 SYMBOLS = (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")
 #: Lengths in bytes of the beginnings of a word that count beside it.
 STEMS = (4, 5, 6)
-CACHE = 1_000_000
+#: Words that a worker remembers, about 120 bytes each.
+CACHE = 200_000
 
 
 def level(x: float) -> int:
@@ -141,6 +144,7 @@ def fit(
     max_fit_rows bounds the rated rows that are learned from (about that many, chosen by a hash of
     the id); the fit on them is the only thing that happens on the driver.
     """
+    small_batches(docs.sparkSession)
     rated = (
         ratings.where("doc_id is not null and grade is not null")
         .groupBy("doc_id").agg(F.min(F.col("grade").cast("int")).alias("grade"))
@@ -172,13 +176,13 @@ def tails(model: Model, text: Column) -> Column:
     """array<double>: P(grade >= 1), P(grade >= 2), ... of a text."""
     held = {int(i): float(model.weights[i]) for i in np.flatnonzero(model.weights)}
     mask, thresholds = (1 << model.bits) - 1, model.thresholds
-    memory: dict[bytes, list[int]] = {}
+    memory: dict[bytes, tuple[int, ...]] = {}
 
-    def weighted(word: bytes) -> list[int]:
+    def weighted(word: bytes) -> tuple[int, ...]:
         if (found := memory.get(word)) is None:
             if len(memory) > CACHE:
                 memory.clear()
-            found = memory[word] = [b for b in parts(word, mask) if b in held]
+            found = memory[word] = tuple(b for b in parts(word, mask) if b in held)
         return found
 
     @F.arrow_udf("array<double>")
@@ -193,6 +197,7 @@ def tails(model: Model, text: Column) -> Column:
 
 def graded(docs: DataFrame, model: Model) -> DataFrame:
     """docs with tail_k = P(grade >= k) and expected_grade."""
+    small_batches(docs.sparkSession)
     out = docs.withColumn("__tails", tails(model, F.col("text")))
     each = {f"tail_{k}": F.col("__tails")[k - 1] for k in range(1, model.grades)}
     each["expected_grade"] = F.round(sum(F.col("__tails")[k] for k in range(model.grades - 1)), 9)

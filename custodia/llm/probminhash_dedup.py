@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from custodia.llm.common import BLANKS, SPACE, staged
+from custodia.llm.common import BLANKS, SPACE, small_batches, staged
 
 WORDS = 5
 BANDS, ROWS = 24, 4
@@ -214,6 +214,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """(key, class_id, head): for each node its class's least doc_id, and the node that has it."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id"), F.col("text"), key_of(F.col("text")).alias("key"))
     sketches = rows.select("key", "doc_id", banded("text").alias("bands"))
     nodes = staged(sketches.groupBy("key").agg(F.min("doc_id").alias("first"), F.any_value("bands").alias("bands")), "nodes")
