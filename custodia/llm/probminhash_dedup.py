@@ -7,9 +7,13 @@ first one; a shingle stops when its next arrival is later than every register's.
 with the probability Jaccard similarity of the weighted shingles (weight 1 + ln of the count).
 
 Registers are banded. A bucket of up to SMALL nodes gives all its pairs. In a larger one every node
-meets the bucket's first node, and the nodes are dealt again by longer keys (two, then three bands),
-where the same holds, so that nothing grows with the square of a bucket. Every pair is verified by
-the exact Jaccard similarity of its shingle sets. Classes are the connected components of the links.
+meets the bucket's first node; buckets that these links leave in several components are joined exactly.
+Sets of n and m shingles that are alike enough share one of their rarest n - ceil(least * n) + 1 and
+m - ceil(least * m) + 1 shingles, in any one order of all shingles. So the nodes of such buckets meet
+by such shingles: first each with the node of a shingle whose own shingles are most common, as an
+original's are among its copies, and then all that are still in different components, in blocks. Every
+pair is verified by the exact Jaccard similarity of its shingle sets. Classes are the connected
+components of the links.
 
 Nulls, empties, ties: a null text is an empty one; all empty texts are one class. A class is named
 by its least doc_id (null if it has none), repeated rows share it. Ids may repeat or be null: the
@@ -31,8 +35,9 @@ from custodia.llm.common import BLANKS, SPACE, small_batches, staged
 WORDS = 5
 BANDS, ROWS = 24, 4
 SMALL = 32
-STEPS = (1, 7)  # which other bands lengthen a band's key
 PREFIX_BITS = 24
+COUNTS = 1 << 20  # cells of shingle counts
+BLOCK = 256
 
 BLANK = np.zeros(256, dtype=bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -131,26 +136,88 @@ def banded(texts: pa.Array) -> pa.Array:
     return pa.array([bands(x.as_py()) for x in texts], pa.list_(pa.int64()))
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """(a, b): different pairs of nodes of (key, bands), a < b, that some bucket brings together."""
-    entries = nodes.select("key", F.posexplode("bands").alias("i", "h"))
-    made = []
-    for depth in range(3):
-        sizes = entries.groupBy("h").agg(F.count("*").alias("n"), F.min("key").alias("head")).where("n > 1")
-        held = staged(entries.join(sizes, "h"), f"buckets{depth}")
-        small = held.where(F.col("n") <= SMALL).groupBy("h").agg(F.sort_array(F.collect_set("key")).alias("k"))
-        tails = F.transform("k", lambda x, i: F.transform(F.slice("k", i + 2, SMALL), lambda y: F.struct(x.alias("a"), y.alias("b"))))
-        made.append(small.select(F.explode(F.flatten(tails)).alias("p")).select("p.a", "p.b"))
-        large = held.where(F.col("n") > SMALL)
-        made.append(large.where("key <> head").select(F.col("head").alias("a"), F.col("key").alias("b")))
-        steps = STEPS if depth == 0 else (3,)
-        again = large.select("key", "i", "h").join(nodes.select("key", "bands"), "key")
-        longer = [F.xxhash64("h", F.element_at("bands", (F.pmod(F.col("i") + s * (depth + 1), F.lit(BANDS)) + 1).cast("int"))) for s in steps]
-        entries = again.select("key", "i", F.explode(F.array(*longer)).alias("h"))
-    out = made[0]
-    for x in made[1:]:
-        out = out.union(x)
-    return out.distinct()
+def buckets(nodes: DataFrame) -> DataFrame:
+    """(h, key, n, head): the nodes of each bucket with more than one, its size and its least key."""
+    entries = nodes.select("key", F.explode("bands").alias("h"))
+    sizes = entries.groupBy("h").agg(F.count("*").alias("n"), F.min("key").alias("head")).where("n > 1")
+    return entries.join(sizes, "h")
+
+
+def candidates(held: DataFrame) -> DataFrame:
+    """(a, b), a < b: all pairs of small buckets, and the head of a large one with each other node."""
+    small = held.where(F.col("n") <= SMALL).groupBy("h").agg(F.sort_array(F.collect_set("key")).alias("k"))
+    tails = F.transform("k", lambda x, i: F.transform(F.slice("k", i + 2, SMALL), lambda y: F.struct(x.alias("a"), y.alias("b"))))
+    pairs = small.select(F.explode(F.flatten(tails)).alias("p")).select("p.a", "p.b")
+    large = held.where((F.col("n") > SMALL) & (F.col("key") != F.col("head")))
+    return pairs.union(large.select(F.col("head").alias("a"), F.col("key").alias("b"))).distinct()
+
+
+def cell_counts(sets: DataFrame) -> np.ndarray:
+    """How many shingles of all sets fall into each of COUNTS cells; this only orders the shingles."""
+    cells = COUNTS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(cells, np.int64)
+        for batch in batches:
+            for x in batch["s"]:
+                np.add.at(own, (np.frombuffer(x.as_buffer(), np.uint64) % np.uint64(cells)).astype(np.int64), 1)
+        met = np.flatnonzero(own)
+        for a in range(0, len(met), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(met[a : a + 100_000]), pa.array(own[met[a : a + 100_000]])], ["cell", "n"])
+
+    summed = sets.select("s").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).where("n > 1").toArrow()
+    out = np.ones(cells, np.int64)  # a cell of one shingle, or of none
+    out[summed["cell"].to_numpy()] = summed["n"].to_numpy()
+    return out
+
+
+def prefixes(sets: DataFrame, least: float) -> DataFrame:
+    """(key, shingle, place, n, common): the rarest shingles of each set, from place 0, as far as any
+    set that is alike enough must share one; n is the set's size, common its mean log count."""
+    shared = sets.sparkSession.sparkContext.broadcast(cell_counts(sets))
+    cells = COUNTS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for batch in batches:
+            for key, x in zip(batch["key"], batch["s"], strict=True):
+                h = np.frombuffer(x.as_buffer(), np.uint64)
+                if not len(h):
+                    continue
+                c = counts[(h % np.uint64(cells)).astype(np.int64)]
+                size = len(h) - max(1, int(np.ceil(least * len(h) - 1e-9))) + 1
+                rare = h[np.lexsort((h, c))[:size]]
+                columns = [np.repeat(key.as_py(), size), rare.view(np.int64), np.arange(size), np.full(size, len(h)), np.full(size, np.log(c).mean())]
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns], ["key", "shingle", "place", "n", "common"])
+
+    return sets.select("key", "s").mapInArrow(run, "key string, shingle long, place long, n long, common double")
+
+
+def divided(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """rows of prefixes with their labels, and m, hub and hub_label of their shingle, for the shingles
+    that nodes of different labels have."""
+    own = rows.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    hub = F.max(F.struct("common", "key", "label"))
+    met = own.groupBy("shingle").agg(F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high"), hub.alias("h"))
+    met = met.where("low <> high").select("shingle", "m", F.col("h.key").alias("hub"), F.col("h.label").alias("hub_label"))
+    return own.join(met, "shingle")
+
+
+def across(rows: DataFrame, least: float) -> DataFrame:
+    """(a, b), a < b: the nodes of different labels that meet in a shingle and may be alike enough.
+
+    A shingle's nodes are dealt into blocks, and each pair of blocks meets by itself.
+    """
+    blocks = F.ceil(F.col("m") / BLOCK).cast("long")
+    own = rows.withColumn("block", F.pmod(F.xxhash64("key"), blocks)).withColumn("blocks", blocks)
+    left = own.select("shingle", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), F.struct("key", "label", "place", "n").alias("x"))
+    right = own.select("shingle", F.explode(F.sequence(F.lit(0).cast("long"), "block")).alias("i"), F.col("block").alias("j"), F.struct("key", "label", "place", "n").alias("y"))
+    met = left.join(right, ["shingle", "i", "j"])
+    # At the first shingle that two sets share, what is left of both must be enough.
+    rest = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    near = (rest * (1 + least) >= least * (F.col("x.n") + F.col("y.n")) - 1e-6) & ((F.col("i") < F.col("j")) | (F.col("x.key") < F.col("y.key")))
+    met = met.where((F.col("x.label") != F.col("y.label")) & near)
+    return met.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -212,16 +279,47 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("key", "label")
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(key, label) after links between labels (la, lb) were added."""
+    new = components(links.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct())
+    both = labels.join(new.select(F.col("key").alias("label"), F.col("label").alias("new")), "label", "left")
+    return staged(both.select("key", F.coalesce("new", "label").alias("label")), "labels")
+
+
+def completed(labels: DataFrame, held: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """(key, label) with all links between nodes of large buckets."""
+    # A bucket whose nodes are in one component has no link to add.
+    own = held.where(F.col("n") > SMALL).select("h", "key").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    split = own.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("h")
+    large = staged(own.join(split, "h").select("key").distinct(), "large")
+    if large.isEmpty():
+        return labels
+    rows = staged(prefixes(sets.join(large, "key"), least), "prefixes")
+    labels = staged(large.join(labels, "key", "full").select("key", F.coalesce("label", "key").alias("label")), "labels")
+    for first in (True, False):
+        split = staged(divided(rows, labels), "divided")
+        if split.isEmpty():
+            return labels
+        hubs = split.where("label <> hub_label").select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
+        pairs = hubs if first else across(split, least)
+        links = staged(verified(staged(pairs, "pairs"), sets, least), "verified")
+        if not links.isEmpty():
+            named = links.select("a", "b").join(labels.toDF("a", "la"), "a").join(labels.toDF("b", "lb"), "b")
+            labels = merged(labels, named)
+    return labels
+
+
 def classes(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """(key, class_id, head): for each node its class's least doc_id, and the node that has it."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id"), F.col("text"), key_of(F.col("text")).alias("key"))
     sketches = rows.select("key", "doc_id", banded("text").alias("bands"))
     nodes = staged(sketches.groupBy("key").agg(F.min("doc_id").alias("first"), F.any_value("bands").alias("bands")), "nodes")
-    pairs = staged(candidates(nodes), "pairs")
+    held = staged(buckets(nodes), "buckets")
+    pairs = staged(candidates(held), "pairs")
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct().join(nodes.select("key", "first"), "key")
     sets = staged(sets_of(docs, staged(wanted, "wanted")), "sets")
-    linked = components(staged(verified(pairs, sets, least), "verified"))
+    linked = completed(components(staged(verified(pairs, sets, least), "verified")), held, sets, least)
     named = nodes.select("key", "first").join(linked, "key", "left").withColumn("label", F.coalesce("label", "key"))
     heads = named.groupBy("label").agg(F.min(F.struct(F.col("first").isNull().alias("none"), "first", "key")).alias("h"))
     return staged(named.join(heads, "label").select("key", F.col("h.first").alias("class_id"), F.col("h.key").alias("head")), "classes")

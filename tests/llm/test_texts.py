@@ -237,3 +237,26 @@ def test_grades_on_awkward_rows(spark):
     assert out.count() == docs.count() and out.where("kept is null or tail_1 < tail_2").count() == 0
     assert ordinal_quality.accepted(docs, labels(spark).limit(0)).where("not kept").count() == 0
     assert ordinal_quality.selected(docs, labels(spark)).columns == docs.columns
+
+
+def test_stars_lose_no_link(spark):
+    """Copies alike enough to one original to be linked, but mostly not to each other."""
+    r = np.random.default_rng(11)
+    rows, expected = [], {}
+    for size in (150, 600, 1500):
+        word, texts = [f"s{size}w{i}" for i in range(115)], []
+        for k in range(size):
+            own = word.copy()
+            for place in r.choice(23, 3 if k % 10 == 0 else 2, replace=False):  # one in ten is not alike enough
+                own[5 * place + r.integers(5)] = f"s{size}k{k}p{place}"
+            texts.append(own)
+        texts.insert(size // 2, word)
+        at = len(rows)
+        roots = components([{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts])
+        least = {root: at + k for k, root in reversed(list(enumerate(roots)))}
+        expected |= {at + k: least[root] for k, root in enumerate(roots)}
+        rows += [(at + k, " ".join(t)) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {x.doc_id: x.class_id for x in probminhash_dedup.near_duplicates(docs).collect()}
+    wrong = sum(out[k] != v for k, v in expected.items())
+    assert wrong == 0, f"{wrong} of {len(expected)} rows in another class, {len(set(out.values()))} classes for {len(set(expected.values()))}"
