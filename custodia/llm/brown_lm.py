@@ -1,11 +1,14 @@
 """LM scoring with Brown classes: a class bigram model found by exchange clustering.
 
-P(text) is the product over its tokens of P(class | class before) * P(word | class). Words of at
-least 1 / UNITS of all training tokens (at most UNITS of them, whatever the corpus) are units of
-their own; rarer words are units by their ending. Exchange clustering moves units between classes
-where that raises the likelihood of the training bigrams. One sweep is one Spark pass over the unit
-bigrams, which yields what each unit exchanges with each class; moves are then made for one half of
-the units and the next pass counts anew. Word counts are exact for all words, frequent or not.
+P(text) is the product over its tokens of P(class | class before) * P(word | class). The UNITS most
+frequent words (without the last count where only some of its words would fit) are units of their
+own; while these are clustered, rarer words stand in as units by their ending. Exchange clustering
+moves units between classes where that raises the likelihood of the training bigrams. One sweep is
+one Spark pass over the unit bigrams, which yields what each unit exchanges with each class; moves are
+then made for one half of the units and the next pass counts anew. Every rarer word then goes to the
+class that makes its own neighbours in the training texts likeliest (a rarer neighbour counts by its
+stand-in), and the classes of all tokens are counted anew. Word counts are exact for all words. A word
+without training tokens has the class that most tokens of rarer words with its ending have.
 
 A class's words have (count + 0.5) / (all + 0.5 * (types + 1)); the last 0.5 is for unseen words.
 Class transitions are smoothed with the classes' own shares.
@@ -163,7 +166,8 @@ def moved(classes: np.ndarray, right: np.ndarray, left: np.ndarray, self_: np.nd
         table[g, g] -= s
         np.maximum(table, 0, out=table)
         rows, columns = table.sum(axis=1), table.sum(axis=0)
-        gain = (xlogx(table + r) - xlogx(table)).sum(axis=1) + (xlogx(table + l[:, None]) - xlogx(table)).sum(axis=0)
+        a, b = np.flatnonzero(r), np.flatnonzero(l)
+        gain = (xlogx(table[:, a] + r[a]) - xlogx(table[:, a])).sum(axis=1) + (xlogx(table[b] + l[b, None]) - xlogx(table[b])).sum(axis=0)
         d = np.diag(table)
         gain += xlogx(d + r + l + s) - xlogx(d + r) - xlogx(d + l) + xlogx(d)
         gain -= xlogx(rows + r.sum() + s) - xlogx(rows) + xlogx(columns + l.sum() + s) - xlogx(columns)
@@ -195,84 +199,161 @@ def clustered(bigrams: DataFrame, n_units: int, end: int, n_classes: int, sweeps
     return best[1], best[2]
 
 
-def scored(docs: DataFrame, n_classes: int = 48, sweeps: int = 8, smoothing: float = 20.0) -> DataFrame:
+def transitions(table: np.ndarray, smoothing: float) -> np.ndarray:
+    """log10 P(class | class before)."""
+    share = (table.sum(axis=0) + 1) / (table.sum() + len(table))
+    return np.log10((table + smoothing * share) / (table.sum(axis=1, keepdims=True) + smoothing))
+
+
+def assigned(texts: DataFrame, units: dict[bytes, int], classes: np.ndarray, table: np.ndarray, smoothing: float) -> DataFrame:
+    """(word, class) of all words that are no units: the class that makes their neighbours likeliest."""
+    n, first, end = len(table), len(classes) - ENDINGS, units[b"\n"]
+    step = transitions(table, smoothing)
+    gains = np.concatenate([step - np.log10(table.sum(axis=0) + 1), step.T])  # by class before; by class after
+    gains[:, 0] = -1e9  # the end's own
+    shared = texts.sparkSession.sparkContext.broadcast((units, classes, gains))
+
+    def rows(c: Counter) -> pa.RecordBatch:
+        words = pa.array([w.decode("utf-8", "replace") for w, _ in c], pa.string())
+        return pa.RecordBatch.from_arrays([words, pa.array([k for _, k in c], pa.int64()), pa.array(list(c.values()), pa.int64())], ["word", "cell", "n"])
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, cls, _ = shared.value
+        c: Counter = Counter()
+        for batch in batches:
+            for x in batch["text"]:
+                found = tokens(x.as_py())
+                ids = [known.get(w, -1) for w in found]
+                own = cls[np.array([end, *[u if u >= 0 else first + ending(w) for u, w in zip(ids, found, strict=True)]])].tolist()
+                for i, u in enumerate(ids):
+                    if u < 0:  # never the last, which is the end
+                        c[found[i], own[i]] += 1
+                        c[found[i], n + own[i + 2]] += 1
+                if len(c) > FLUSH // 4:
+                    yield rows(c)
+                    c.clear()
+        if c:
+            yield rows(c)
+
+    @F.arrow_udf("int")
+    def best(cells: pa.Array) -> pa.Array:
+        flat, at = cells.flatten(), np.asarray(cells.offsets)[:-1] - cells.offsets[0].as_py()
+        if not len(at):
+            return pa.array([], pa.int32())
+        g = shared.value[2][flat.field("cell").to_numpy()] * flat.field("n").to_numpy()[:, None]
+        return pa.array(np.add.reduceat(g, at, axis=0).argmax(axis=1).astype(np.int32))
+
+    cells = texts.select("text").mapInArrow(met, "word string, cell long, n long").groupBy("word", "cell").agg(F.sum("n").alias("n"))
+    return cells.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("cell", "n"))).alias("x")).select("word", best("x").alias("class"))
+
+
+def least_count(often: list, most: int) -> int:
+    """The least count that leaves at most `most` words, from (count, number of words)."""
+    out = often[0][0] + 1 if often else 1
+    for c, n in often:
+        if (most := most - n) < 0:
+            break
+        out = c
+    return out
+
+
+def scored(docs: DataFrame, n_classes: int = 48, sweeps: int = 8, smoothing: float = 20.0, most_units: int = UNITS, most_known: int = KNOWN) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
     training = rows.where(~F.col("held_out")).select("text")
     counts = staged(word_counts(training), "words")
     total, types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    # At most KNOWN words can have 1 / KNOWN of all tokens each.
-    often = counts.where(F.col("c") * KNOWN >= total).collect()
-    often.sort(key=lambda r: (-r["c"], r["word"]))
-    units = {r["word"].encode(): k for k, r in enumerate(r for r in often if r["c"] * UNITS >= total)}
+    # Words by count: as many rows as there are different counts, less than the root of twice the tokens.
+    often = sorted(((r["c"], r["n"]) for r in counts.groupBy("c").agg(F.count("*").alias("n")).collect()), reverse=True)
+    own, bound = least_count(often, most_units), least_count(often, max(most_units, most_known))
+    frequent = counts.where((F.col("c") >= own) | (F.col("word") == END)).collect()
+    frequent.sort(key=lambda r: (-r["c"], r["word"]))
+    units = {r["word"].encode(): k for k, r in enumerate(frequent)}
     units.setdefault(END.encode(), len(units))
     n_units = len(units) + ENDINGS
     bigrams = staged(unit_bigrams(training, units, n_units), "bigrams")
     classes, table = clustered(bigrams, n_units, units[b"\n"], n_classes, sweeps)
-    # Tokens and types of the units: rarer words by ending.
-    bytes_ = F.col("word").cast("binary")
-    rare = counts.where((F.col("c") * UNITS < total) & (F.col("word") != END))
-    by_ending = rare.groupBy((F.crc32(F.substring(bytes_, -3, 3)) % ENDINGS).alias("e")).agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()
-    size, kinds = np.zeros(n_units), np.zeros(n_units)
-    for r in often:
-        if (u := units.get(r["word"].encode())) is not None:
-            size[u], kinds[u] = r["c"], 1
-    for r in by_ending:
-        size[n_units - ENDINGS + r["e"]], kinds[n_units - ENDINGS + r["e"]] = r["c"], r["v"]
-    if END not in {r["word"] for r in often}:
-        r = counts.where(F.col("word") == END).first()
-        size[units[b"\n"]], kinds[units[b"\n"]] = (r["c"], 1) if r else (0, 0)
-    below = np.log10(np.bincount(classes, size, n_classes) + 0.5 * (np.bincount(classes, kinds, n_classes) + 1))
-    share = (table.sum(axis=0) + 1) / (table.sum() + n_classes)
-    step = np.log10((table + smoothing * share) / (table.sum(axis=1, keepdims=True) + smoothing))
-    known = {r["word"].encode(): (float(np.log10(r["c"] + 0.5)), units.get(r["word"].encode(), -1)) for r in often}
-    shared = spark.sparkContext.broadcast((known, classes, step, below))
-    first, end = n_units - ENDINGS, units[b"\n"]
-    kind = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, sure double, fixed double, words array<string>, times array<long>"
-    shape = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("sure", pa.float64()), ("fixed", pa.float64()), ("words", pa.list_(pa.string())), ("times", pa.list_(pa.int64()))])
+    rare = counts.where((F.col("c") < own) & (F.col("word") != END))
+    rest = staged(rare.join(assigned(training, units, classes, table, smoothing), "word"), "classes")
+    # Unseen words by ending.
+    of_ending = classes[n_units - ENDINGS :].copy()
+    by_ending = rest.groupBy((F.crc32(F.substring(F.col("word").cast("binary"), -3, 3)) % ENDINGS).alias("e"), "class").agg(F.sum("c").alias("c")).collect()
+    for r in sorted(by_ending, key=lambda r: (r["c"], -r["class"])):
+        of_ending[r["e"]] = r["class"]  # the most frequent is last
+    known = {r["word"].encode(): (float(np.log10(r["c"] + 0.5)), int(classes[k])) for k, r in enumerate(frequent)}
+    known |= {r["word"].encode(): (float(np.log10(r["c"] + 0.5)), r["class"]) for r in rest.where(F.col("c") >= bound).collect()}
+    shared = spark.sparkContext.broadcast(known)
+    kind = "row long, doc_id long, held_out boolean, n_tokens long, sure double, ids binary, words array<string>"
+    shape = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("sure", pa.float64()), ("ids", pa.binary()), ("words", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, classes, step, below = shared.value
-        row = TaskContext.get().partitionId() << 40
+        known, row = shared.value, TaskContext.get().partitionId() << 40
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
-                own = batch.slice(a, 500)
-                out: list[list] = [[] for _ in range(7)]
-                for x in own["text"]:
-                    found, ids, rare, sure = tokens(x.as_py()), [end], [], 0.0
-                    for w in found:
-                        k = known.get(w)
-                        if k is None:
-                            rare.append(w)
-                            ids.append(first + ending(w))
-                        else:
-                            sure += k[0]
-                            ids.append(k[1] if k[1] >= 0 else first + ending(w))
-                    cls, others = classes[np.array(ids)], Counter(rare)
-                    fixed = step[cls[:-1], cls[1:]].sum() - below[cls[1:]].sum()
-                    values = (row, len(found), len(found) - len(rare), sure, float(fixed), [w.decode("utf-8", "replace") for w in others], list(others.values()))
-                    row += 1
-                    for column, v in zip(out, values, strict=True):
+                part = batch.slice(a, 500)
+                out: list[list] = [[] for _ in range(5)]
+                for x in part["text"]:
+                    found = tokens(x.as_py())
+                    each = [known.get(w) for w in found]
+                    ids = np.array([k[1] if k else -1 - ending(w) for k, w in zip(each, found, strict=True)], np.int16)
+                    others = [w.decode("utf-8", "replace") for k, w in zip(each, found, strict=True) if not k]
+                    for column, v in zip(out, (row, len(found), sum(k[0] for k in each if k), ids.tobytes(), others), strict=True):
                         column.append(v)
-                row_, n, k, sure_, fixed_, words_, times_ = out
-                columns = [row_, own["doc_id"], own["held_out"], n, k, sure_, fixed_, words_, times_]
+                    row += 1
+                row_, n, sure_, ids_, words_ = out
+                columns = [row_, part["doc_id"], part["held_out"], n, sure_, ids_, words_]
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, shape, strict=True)], schema=shape)
 
+    @F.arrow_udf("binary")
+    def filled(ids: pa.Array, met: pa.Array) -> pa.Array:
+        out = []
+        for x, m in zip(ids, met, strict=True):
+            own = np.frombuffer(x.as_buffer(), np.int16).copy()
+            late = np.flatnonzero(own < 0)
+            own[late] = of_ending[-1 - own[late].astype(np.int64)]
+            if len(late) and m.is_valid:
+                found = m.values.field("class")
+                own[late] = np.where(found.is_valid(), found.fill_null(0), own[late])
+            out.append(own.tobytes())
+        return pa.array(out, pa.binary())
+
     seen = staged(rows.mapInArrow(run, kind), "seen")
-    # Words too rare to be known to every task meet their counts in a join.
-    each = seen.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row", "x.words", "x.times")
-    tail = counts.where(F.col("c") * KNOWN < total)
-    met = each.join(tail, F.col("words") == F.col("word"), "left")
+    # Words too rare to be known to every task meet their counts and classes in a join.
+    each = seen.select("row", F.posexplode("words").alias("at", "w"))
+    met = each.join(rest.where(F.col("c") < bound), F.col("w") == F.col("word"), "left")
     sums = met.groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("more"),
-        F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("met"),
+        F.sum(F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("more"), F.sum(F.when(F.col("c") > 0, 0).otherwise(1)).alias("unseen"),
+        F.sort_array(F.collect_list(F.struct("at", "class"))).alias("met"),
     )
-    out = seen.drop("words", "times").join(sums, "row", "left")
-    words_ = F.col("sure") + F.coalesce("more", F.lit(0.0))
-    return out.select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("met", F.lit(0))).alias("n_known"),
-        F.lit(int(total)).cast("long").alias("train_tokens"),
-        (words_ - F.col("n_tokens") * F.log10(F.lit(total + 0.5 * (types + 1)))).alias("base_score"),
-        (words_ + F.col("fixed")).alias("score"),
+    whole = seen.drop("words").join(sums, "row", "left")
+    whole = staged(whole.select("doc_id", "held_out", "n_tokens", (F.col("n_tokens") - F.coalesce("unseen", F.lit(0))).alias("n_known"), (F.col("sure") + F.coalesce("more", F.lit(0.0))).alias("words"), filled("ids", "met").alias("ids")), "whole")
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(n_classes * n_classes, np.int64)
+        for batch in batches:
+            for x in batch["ids"]:
+                own = np.frombuffer(x.as_buffer(), np.int16).astype(np.int64)
+                sums += np.bincount(np.concatenate([[0], own[:-1]]) * n_classes + own, minlength=len(sums))
+        cell = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(sums[cell])], ["cell", "n"])
+
+    table = np.zeros((n_classes, n_classes))
+    for r in whole.where(~F.col("held_out")).select("ids").mapInArrow(pairs, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        table.ravel()[r["cell"]] = r["n"]
+    kinds = np.bincount(classes[: len(frequent)], minlength=n_classes).astype(float)
+    for r in rest.groupBy("class").count().collect():
+        kinds[r["class"]] += r["count"]
+    below = np.log10(table.sum(axis=0) + 0.5 * (kinds + 1))
+    step = transitions(table, smoothing)
+
+    @F.arrow_udf("double")
+    def fixed(ids: pa.Array) -> pa.Array:
+        own = [np.frombuffer(x.as_buffer(), np.int16) for x in ids]
+        return pa.array([float(step[np.concatenate([[0], x[:-1]]), x].sum() - below[x].sum()) for x in own], pa.float64())
+
+    return whole.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"),
+        (F.col("words") - F.col("n_tokens") * F.log10(F.lit(total + 0.5 * (types + 1)))).alias("base_score"),
+        (F.col("words") + fixed("ids")).alias("score"),
     )

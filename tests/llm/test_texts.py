@@ -149,6 +149,25 @@ def test_language_model_learns(spark):
     assert brown_lm.scored(empty(spark), sweeps=1).count() == 0
 
 
+def test_rare_words_have_their_own_classes(spark):
+    """Rare words with one ending stand where nouns or where verbs stand, and get those classes."""
+    text = " ".join(f"noun{i % 7} verb{i % 5}" for i in range(400))
+    rare = [(k, f"noun1 v{k}same noun2 verb1 n{k}same verb2") for k in range(20)]
+    training = spark.createDataFrame([(text,), *[(t,) for _, t in rare]], "text string")
+    units = {w: i for i, w in enumerate([b"\n", *[b"noun%d" % i for i in range(7)], *[b"verb%d" % i for i in range(5)]])}
+    classes = np.array([0, *[1] * 7, *[2] * 5, *[3] * brown_lm.ENDINGS])
+    table = np.array([[0, 21, 0, 0], [0, 0, 400, 20], [21, 400, 0, 20], [0, 20, 20, 0]], float)
+    got = {r.word: r["class"] for r in brown_lm.assigned(training, units, classes, table, 20.0).collect()}
+    assert got == {f"n{k}same": 1 for k in range(20)} | {f"v{k}same": 2 for k in range(20)}
+
+
+def test_language_model_with_few_known_words(spark):
+    docs = documents(spark)
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.n_tokens, round(r.score, 6), r.n_known)
+    a, b = (sorted(map(key, brown_lm.scored(docs, sweeps=2, most_units=40, most_known=n).collect())) for n in (60, 1 << 19))
+    assert a == b and brown_lm.least_count([(9, 1), (4, 2), (1, 5)], 3) == 4 and brown_lm.least_count([(9, 2)], 1) == 10
+
+
 def test_class_model_is_a_distribution():
     r = np.random.default_rng(3)
     table = r.integers(0, 9, (6, 6)).astype(float)
