@@ -8,14 +8,18 @@ The landing folder holds one folder per source, named by its data set id.
 from __future__ import annotations
 
 import argparse
+import logging
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from custodia.operators import census, intake, privacy
 from custodia.operators.quality import coverage, run_summary, warn_low_coverage
 from custodia.sources import landing, sinks
 
+log = logging.getLogger(__name__)
+
 
 def enriched(
     bookings: DataFrame,
@@ -34,6 +38,31 @@ def enriched(
     return intake.with_batch(intake.with_reform_tag(intake.with_bail_gap(rows)), batch_id, at)
 
 
+def unreadable_of(snapshot: str) -> str:
+    """Where the records that could not be read lie, beside their snapshot."""
+    folder, _, stamp = snapshot.rpartition("enriched_")
+    return f"{folder}unreadable_{stamp}"
+
+
+def write_unreadable(spark: SparkSession, paths: dict[str, str], sources, salt: str, place: str, whole_files: bool = False) -> None:
+    """Source, digest and length of each text that could not be read, and their counts in the log.
+
+    The text may hold personal data, so it is not written. An array that breaks off after its first record
+    is not among them: the parser yields what came before.
+    """
+    found = []
+    for source in sources:
+        try:
+            rows = landing.unreadable(spark, paths[source.name], whole_files)
+        except PySparkException as error:
+            log.warning("source %s skipped: %s", source.name, error)
+            continue
+        found.append(rows.select(F.lit(source.name).alias("source_system"), privacy.hashed(F.col("value"), salt).alias("text_hash"), F.length("value").alias("n_chars")))
+    landing.combined(found).write.mode("overwrite").parquet(place)
+    for r in spark.read.parquet(place).groupBy("source_system").count().collect():  # a row for each source
+        log.warning("source %s: %d texts could not be read", r["source_system"], r["count"])
+
+
 def run(
     spark: SparkSession,
     landing_root: str,
@@ -44,7 +73,7 @@ def run(
     sources=None,
     whole_files: bool = False,
 ) -> str:
-    """Read all sources, enrich, write the snapshot; returns its path."""
+    """Read all sources, enrich, write the snapshot and what could not be read; returns the snapshot's path."""
     chosen = landing.active_sources() if sources is None else sources
     paths = {source.name: f"{landing_root}/{source.dataset_id}" for source in chosen}
     bookings = landing.read_all(
@@ -52,7 +81,10 @@ def run(
         rename=lambda rows, source: intake.renamed(intake.only_declared(rows, source), source),
     )
     context = census.context_by_zip(landing.read_census(spark, census_path, whole_files)) if census_path else None
-    return sinks.write_snapshot(enriched(bookings, context, privacy.salt_from_environment()), out)
+    salt = privacy.salt_from_environment()
+    snapshot = sinks.write_snapshot(enriched(bookings, context, salt), out)
+    write_unreadable(spark, paths, chosen, salt, unreadable_of(snapshot), whole_files)
+    return snapshot
 
 
 def main() -> None:

@@ -263,6 +263,18 @@ def test_coverage_and_warnings(spark):
     assert len(quality.warn_low_coverage(metrics)) == 2
 
 
+def test_ingest_keeps_count_of_what_it_cannot_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setenv(privacy.SALT_VARIABLE, "s")
+    source = tmp_path / "landing" / CUSTODY.dataset_id
+    source.mkdir(parents=True)
+    bad = ['{"inmateid": broken']
+    (source / "a.json").write_text("\n".join(['{"inmateid": "A1", "admitted_dt": "2021-08-01"}', *bad]))
+    path = ingest.run(spark, str(tmp_path / "landing"), None, str(tmp_path / "out"))
+    lost = spark.read.parquet(ingest.unreadable_of(path)).collect()
+    assert sorted((r.source_system, r.n_chars) for r in lost) == [(CUSTODY.name, len(x)) for x in bad]
+    assert all(len(r.text_hash) == 64 for r in lost) and spark.read.parquet(path).count() == 1
+
+
 def test_ingest_from_landed_files(spark, tmp_path, monkeypatch):
     monkeypatch.setenv(privacy.SALT_VARIABLE, "s")
     source = tmp_path / "landing" / CUSTODY.dataset_id
