@@ -27,8 +27,7 @@ def as_set(df):
 
 
 @pytest.mark.parametrize("tie_buckets", [1, 7, 65521])
-@pytest.mark.parametrize("bound", [None, 1000])
-def test_tiles_equal_ntile(skewed, monkeypatch, tie_buckets, bound):
+def test_tiles_equal_ntile(skewed, monkeypatch, tie_buckets):
     monkeypatch.setattr(grouping, "TIE_BUCKETS", tie_buckets)
     order = Window.partitionBy("area").orderBy(
         F.col("income").asc_nulls_last(), F.col("key") % tie_buckets, "key"
@@ -40,7 +39,7 @@ def test_tiles_equal_ntile(skewed, monkeypatch, tie_buckets, bound):
             .groupBy("area", "tile")
             .agg(*[c.alias(n) for n, c in sums.items()])
         )
-        made = tiled(skewed, "area", "income", "key", tiles, sums, bound)
+        made = tiled(skewed, "area", "income", "key", tiles, sums)
         assert as_set(made.select(plain.columns)) == as_set(plain)
 
 
