@@ -13,11 +13,14 @@ from custodia.llm import (
     drr_packing,
     flow_mixing,
     histogram_topk,
+    kneser_ney_langid,
     license_windows,
     merkle_fixity,
     ordinal_quality,
     probminhash_dedup,
     rule_lists,
+    source_divergence,
+    swar_fim,
 )
 from custodia.llm.common import table
 
@@ -71,10 +74,23 @@ def op10_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blob_ledger.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_swar_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return swar_fim.digest(table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_kneser_ney_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney_langid.identified(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_merkle_fixity, op2_rule_lists, op3_brown_lm, op4_flow_mixing, op5_license_windows, op6_drr_packing,
         op7_histogram_topk, op8_probminhash_dedup, op9_ordinal_quality, op10_blob_ledger,
+        op11_swar_fim, op12_source_divergence, op13_kneser_ney_langid,
     )
     return {f.__name__: f for f in own}
 
@@ -84,4 +100,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_merkle_fixity": merkle_fixity.page_audit_sql(),
         "op5_license_windows": license_windows.scan_sql(),
         "op7_histogram_topk": histogram_topk.search_sql(),
+        "op11_swar_fim": swar_fim.digest_sql(),
+        "op12_source_divergence": source_divergence.audit_sql(),
     }
