@@ -21,16 +21,16 @@ With no training rows N and V are 0 and all tokens are unseen. Other columns are
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custodia.llm.common import staged
+from custodia.llm.common import small_batches, staged
 
 END = "\n"
 UNITS = 1 << 15
@@ -43,32 +43,61 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 1, F.lit(False))
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """Words with A-Z in lower case, then the end."""
-    return [*(text or "").encode("utf-8", "replace").lower().split(), b"\n"]
-
-
 def ending(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % ENDINGS
 
 
+def coded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(codes, lengths, words): the tokens of all texts in order as places in words, and how many each text
+    has. Words have A-Z in lower case; the last of words is the end, which closes every text."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    word, row = pc.list_flatten(split), pc.list_parent_indices(split)
+    there = pc.not_equal(word, "")  # beside blanks at either end
+    found = word.filter(there).dictionary_encode()
+    lengths = np.bincount(row.filter(there).to_numpy(), minlength=len(texts)) + 1
+    codes = np.full(lengths.sum(), len(found.dictionary), np.int64)
+    inside = np.ones(len(codes), bool)
+    inside[np.cumsum(lengths) - 1] = False
+    codes[inside] = found.indices.to_numpy()
+    return codes, lengths, pa.concat_arrays([found.dictionary, pa.array([END], pa.string())])
+
+
+def units_of(words: pa.Array, units: dict[bytes, int], first: int) -> tuple[np.ndarray, np.ndarray]:
+    """The unit of each word, and whether it is its own: rarer words stand as first + their ending."""
+    raw = words.cast(pa.binary()).to_pylist()
+    own = [units.get(w, -1) for w in raw]
+    out = np.array([u if u >= 0 else first + ending(w) for u, w in zip(own, raw, strict=True)], np.int64)
+    return out, np.array(own) >= 0
+
+
+def summed(parts: list[pa.Table], keys: list[str], n: str) -> pa.Table:
+    return pa.concat_tables(parts).group_by(keys).aggregate([(n, "sum")]).rename_columns([*keys, n])
+
+
+def in_parts(tables: Iterator[pa.Table], keys: list[str], n: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The sums of tables (keys, n), as few rows for a key as fit into a task's memory."""
+    whole: list[pa.Table] = []
+    fresh, rows = [], 0
+    for t in tables:
+        fresh.append(t)
+        rows += t.num_rows
+        if rows > most:
+            whole, fresh, rows = [summed(whole + fresh, keys, n)], [], 0
+            if whole[0].num_rows > most:
+                yield from whole.pop().to_batches(max_chunksize=50_000)
+    if whole or fresh:
+        yield from summed(whole + fresh, keys, n).to_batches(max_chunksize=50_000)
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, c) over all texts; each task adds up its own first."""
 
-    def rows(c: Counter) -> pa.RecordBatch:
-        words = pa.array([w.decode("utf-8", "replace") for w in c], pa.string())
-        return pa.RecordBatch.from_arrays([words, pa.array(list(c.values()), pa.int64())], ["word", "c"])
+    def counts(batch: pa.RecordBatch) -> pa.Table:
+        codes, _, words = coded(batch["text"])
+        return pa.table({"word": words, "c": np.bincount(codes, minlength=len(words))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c: Counter = Counter()
-        for batch in batches:
-            for x in batch["text"]:
-                c.update(tokens(x.as_py()))
-                if len(c) > FLUSH:
-                    yield rows(c)
-                    c.clear()
-        if c:
-            yield rows(c)
+        yield from in_parts((counts(b) for b in batches if b.num_rows), ["word"], "c", FLUSH)
 
     return texts.select("text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -78,37 +107,16 @@ def unit_bigrams(texts: DataFrame, units: dict[bytes, int], n_units: int) -> Dat
     shared = texts.sparkSession.sparkContext.broadcast(units)  # UNITS words at most
     first = n_units - ENDINGS
 
-    def merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
-        keys, counts = np.concatenate([p for p, _ in parts]), np.concatenate([n for _, n in parts])
-        keys, at = np.unique(keys, return_inverse=True)
-        return keys, np.bincount(at, counts).astype(np.int64)
-
-    def rows(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for a in range(0, len(keys), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + 100_000]), pa.array(n[a : a + 100_000])], ["pair", "n"])
+    def counts(batch: pa.RecordBatch) -> pa.Table:
+        codes, _, words = coded(batch["text"])
+        ids = units_of(words, shared.value, first)[0][codes]
+        # Every text closes with the end, which therefore stands before the next one's first word.
+        pairs = np.concatenate([[shared.value[b"\n"]], ids[:-1]]) * n_units + ids
+        found = pc.value_counts(pa.array(pairs))
+        return pa.table({"pair": found.field("values"), "n": found.field("counts")})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, parts, waiting, total = shared.value, [], [], 0
-        last = known[b"\n"]
-        for batch in batches:
-            for x in batch["text"]:
-                ids = [last]
-                for w in tokens(x.as_py()):
-                    u = known.get(w)
-                    ids.append(first + ending(w) if u is None else u)
-                own = np.array(ids, dtype=np.int64)
-                waiting.append(own[:-1] * n_units + own[1:])
-                total += len(own)
-                if total > FLUSH:
-                    parts.append(np.unique(np.concatenate(waiting), return_counts=True))
-                    waiting, total = [], 0
-                    parts = [merged(parts)]
-                    if len(parts[0][0]) > 2 * FLUSH:
-                        yield from rows(*parts.pop())
-        if waiting:
-            parts.append(np.unique(np.concatenate(waiting), return_counts=True))
-        if parts:
-            yield from rows(*merged(parts))
+        yield from in_parts((counts(b) for b in batches if b.num_rows), ["pair"], "n", 2 * FLUSH)
 
     return texts.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
@@ -213,27 +221,19 @@ def assigned(texts: DataFrame, units: dict[bytes, int], classes: np.ndarray, tab
     gains[:, 0] = -1e9  # the end's own
     shared = texts.sparkSession.sparkContext.broadcast((units, classes, gains))
 
-    def rows(c: Counter) -> pa.RecordBatch:
-        words = pa.array([w.decode("utf-8", "replace") for w, _ in c], pa.string())
-        return pa.RecordBatch.from_arrays([words, pa.array([k for _, k in c], pa.int64()), pa.array(list(c.values()), pa.int64())], ["word", "cell", "n"])
+    def counts(batch: pa.RecordBatch) -> pa.Table:
+        known, cls, _ = shared.value
+        codes, _, words = coded(batch["text"])
+        unit, own = units_of(words, known, first)
+        classes, rare = cls[unit][codes], np.flatnonzero(~own[codes])  # the last is the end: no rare one
+        before = np.where(rare > 0, classes[rare - 1], cls[end])
+        cells = np.concatenate([before, n + classes[rare + 1]])
+        found = pc.value_counts(pa.array(np.tile(codes[rare], 2) * (2 * n) + cells))
+        key = found.field("values").to_numpy()
+        return pa.table({"word": words.take(pa.array(key // (2 * n))), "cell": key % (2 * n), "n": found.field("counts")})
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, cls, _ = shared.value
-        c: Counter = Counter()
-        for batch in batches:
-            for x in batch["text"]:
-                found = tokens(x.as_py())
-                ids = [known.get(w, -1) for w in found]
-                own = cls[np.array([end, *[u if u >= 0 else first + ending(w) for u, w in zip(ids, found, strict=True)]])].tolist()
-                for i, u in enumerate(ids):
-                    if u < 0:  # never the last, which is the end
-                        c[found[i], own[i]] += 1
-                        c[found[i], n + own[i + 2]] += 1
-                if len(c) > FLUSH // 4:
-                    yield rows(c)
-                    c.clear()
-        if c:
-            yield rows(c)
+        yield from in_parts((counts(b) for b in batches if b.num_rows), ["word", "cell"], "n", FLUSH)
 
     @F.arrow_udf("int")
     def best(cells: pa.Array) -> pa.Array:
@@ -260,6 +260,7 @@ def least_count(often: list, most: int) -> int:
 def scored(docs: DataFrame, n_classes: int = 48, sweeps: int = 8, smoothing: float = 20.0, most_units: int = UNITS, most_known: int = KNOWN) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
     training = rows.where(~F.col("held_out")).select("text")
     counts = staged(word_counts(training), "words")
@@ -289,21 +290,25 @@ def scored(docs: DataFrame, n_classes: int = 48, sweeps: int = 8, smoothing: flo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, row = shared.value, TaskContext.get().partitionId() << 40
-        for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
-                out: list[list] = [[] for _ in range(5)]
-                for x in part["text"]:
-                    found = tokens(x.as_py())
-                    each = [known.get(w) for w in found]
-                    ids = np.array([k[1] if k else -1 - ending(w) for k, w in zip(each, found, strict=True)], np.int16)
-                    others = [w.decode("utf-8", "replace") for k, w in zip(each, found, strict=True) if not k]
-                    for column, v in zip(out, (row, len(found), sum(k[0] for k in each if k), ids.tobytes(), others), strict=True):
-                        column.append(v)
-                    row += 1
-                row_, n, sure_, ids_, words_ = out
-                columns = [row_, part["doc_id"], part["held_out"], n, sure_, ids_, words_]
-                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, shape, strict=True)], schema=shape)
+        for part in batches:
+            if not part.num_rows:
+                continue
+            codes, lengths, words = coded(part["text"])
+            raw = words.cast(pa.binary()).to_pylist()
+            each = [known.get(w) for w in raw]
+            log = np.array([k[0] if k else 0.0 for k in each])[codes]
+            ids = np.array([k[1] if k else -1 - ending(w) for k, w in zip(each, raw, strict=True)], "<i2")[codes]
+            ends = np.cumsum(lengths)
+            late = np.flatnonzero(np.array([k is None for k in each])[codes])
+            cut = np.searchsorted(late, np.concatenate([[0], ends]))
+            columns = [
+                pa.array(row + np.arange(len(lengths))), part["doc_id"], part["held_out"], pa.array(lengths),
+                pa.array(np.add.reduceat(log, ends - lengths)),
+                pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(np.concatenate([[0], 2 * ends]).astype(np.int32)), pa.py_buffer(ids)]),
+                pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), words.take(pa.array(codes[late]))),
+            ]
+            row += len(lengths)
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, shape, strict=True)], schema=shape)
 
     @F.arrow_udf("binary")
     def filled(ids: pa.Array, met: pa.Array) -> pa.Array:
