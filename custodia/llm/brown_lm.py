@@ -37,6 +37,7 @@ UNITS = 1 << 15
 ENDINGS = 1024
 KNOWN = 1 << 19
 FLUSH = 1_000_000
+CHUNKS = 512
 
 
 def held_out(doc_id: Column) -> Column:
@@ -74,7 +75,7 @@ def summed(parts: list[pa.Table], keys: list[str], n: str) -> pa.Table:
     return pa.concat_tables(parts).group_by(keys).aggregate([(n, "sum")]).rename_columns([*keys, n])
 
 
-def in_parts(tables: Iterator[pa.Table], keys: list[str], n: str, most: int) -> Iterator[pa.RecordBatch]:
+def in_parts(tables: Iterator[pa.Table], keys: list[str], n: str, most: int, rows_each: int = 50_000) -> Iterator[pa.RecordBatch]:
     """The sums of tables (keys, n), as few rows for a key as fit into a task's memory."""
     whole: list[pa.Table] = []
     fresh, rows = [], 0
@@ -84,9 +85,9 @@ def in_parts(tables: Iterator[pa.Table], keys: list[str], n: str, most: int) ->
         if rows > most:
             whole, fresh, rows = [summed(whole + fresh, keys, n)], [], 0
             if whole[0].num_rows > most:
-                yield from whole.pop().to_batches(max_chunksize=50_000)
+                yield from whole.pop().combine_chunks().to_batches(max_chunksize=rows_each)
     if whole or fresh:
-        yield from summed(whole + fresh, keys, n).to_batches(max_chunksize=50_000)
+        yield from summed(whole + fresh, keys, n).combine_chunks().to_batches(max_chunksize=rows_each)
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -99,11 +100,35 @@ def word_counts(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from in_parts((counts(b) for b in batches if b.num_rows), ["word"], "c", FLUSH)
 
-    return texts.select("text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    # Dealt by word at once: what a task sends is added up already.
+    return texts.select("text").mapInArrow(run, "word string, c long").repartition("word").groupBy("word").agg(F.sum("c").alias("c"))
+
+
+def by_chunk(pair: np.ndarray, n: np.ndarray, n_units: int) -> Iterator[pa.RecordBatch]:
+    """(chunk, own, other, n): bigrams as arrays, by the chunk of their first unit and once more by that of
+    their second (CHUNKS more). Units are dealt to chunks in turn, so that frequent ones do not meet."""
+    first, second = pair // n_units, pair % n_units
+    for side, (own, other) in enumerate(((first, second), (second, first))):
+        chunk = own % CHUNKS
+        order = np.argsort(chunk, kind="stable")
+        cuts = np.searchsorted(chunk[order], np.arange(CHUNKS + 1))
+        there = np.flatnonzero(np.diff(cuts))
+        if not len(there):
+            continue
+        columns = [pa.array(there + side * CHUNKS)]
+        for values, kind in ((own, "<i4"), (other, "<i4"), (n, "<i8")):
+            raw, size = values[order].astype(kind), np.dtype(kind).itemsize
+            offsets = (np.append(cuts[there], cuts[-1]) * size).astype(np.int32)
+            columns.append(pa.Array.from_buffers(pa.binary(), len(there), [None, pa.py_buffer(offsets), pa.py_buffer(raw)]))
+        yield pa.RecordBatch.from_arrays(columns, ["chunk", "own", "other", "n"])
 
 
 def unit_bigrams(texts: DataFrame, units: dict[bytes, int], n_units: int) -> DataFrame:
-    """(pair, n): pair = unit before * n_units + unit, the end standing before the first word."""
+    """(chunk, own, other, n): how often units follow each other, the end standing before the first word.
+
+    One row has all bigrams that begin with a unit of a chunk, one all that end with it. Such a row has at
+    most (n_units / CHUNKS) * n_units bigrams; what tasks send for it is added up as it arrives.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(units)  # UNITS words at most
     first = n_units - ENDINGS
 
@@ -115,35 +140,59 @@ def unit_bigrams(texts: DataFrame, units: dict[bytes, int], n_units: int) -> Dat
         found = pc.value_counts(pa.array(pairs))
         return pa.table({"pair": found.field("values"), "n": found.field("counts")})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from in_parts((counts(b) for b in batches if b.num_rows), ["pair"], "n", 2 * FLUSH)
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in in_parts((counts(b) for b in batches if b.num_rows), ["pair"], "n", 2 * FLUSH, FLUSH):
+            yield from by_chunk(part["pair"].to_numpy(), part["n"].to_numpy(), n_units)
 
-    return texts.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+        def merge(chunk: int) -> None:
+            keys, n = (np.concatenate(x) for x in zip(*held[chunk], strict=True))
+            keys, at = np.unique(keys, return_inverse=True)
+            held[chunk] = [(keys, np.bincount(at, n).astype(np.int64))]
+
+        for batch in batches:
+            for k, chunk in enumerate(batch["chunk"].to_pylist()):
+                own, other = (np.frombuffer(batch[c][k].as_buffer(), "<i4").astype(np.int64) for c in ("own", "other"))
+                parts = held.setdefault(chunk, [])
+                parts.append((own * n_units + other, np.frombuffer(batch["n"][k].as_buffer(), "<i8")))
+                if len(parts) > 2 and sum(len(x) for x, _ in parts[1:]) > max(FLUSH // 10, 2 * len(parts[0][0])):
+                    merge(chunk)
+        for chunk in sorted(held):
+            merge(chunk)
+            ((keys, n),) = held.pop(chunk)
+            columns = [(keys // n_units).astype("<i4"), (keys % n_units).astype("<i4"), n.astype("<i8")]
+            yield pa.RecordBatch.from_arrays([pa.array([chunk]), *[pa.array([x.tobytes()], pa.binary()) for x in columns]], ["chunk", "own", "other", "n"])
+
+    kind = "chunk long, own binary, other binary, n binary"
+    return texts.select("text").mapInArrow(sent, kind).repartition("chunk").mapInArrow(added, kind)
 
 
 def exchanges(bigrams: DataFrame, classes: np.ndarray, n_classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """right[u, c], left[u, c]: bigrams of unit u with a following / preceding unit of class c; self[u]."""
+    """right[u, c], left[u, c]: bigrams of unit u with a following / preceding unit of class c; self[u].
+
+    A row of bigrams has all those of its units, so nothing is shuffled.
+    """
     n_units, width = len(classes), n_classes + 1
+    lines = n_units // CHUNKS + 1
     shared = bigrams.sparkSession.sparkContext.broadcast(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = []
+        cls = shared.value
         for batch in batches:
-            cls, pair, n = shared.value, batch["pair"].to_numpy(), batch["n"].to_numpy()
-            a, b = pair // n_units, pair % n_units
-            same = a == b
-            cells = np.concatenate([a * width + cls[b], (n_units + b) * width + cls[a], a[same] * width + n_classes])
-            cell, at = np.unique(cells, return_inverse=True)
-            parts.append((cell, np.bincount(at, np.concatenate([n, n, n[same]])).astype(np.int64)))
-        if parts:
-            cell, at = np.unique(np.concatenate([x for x, _ in parts]), return_inverse=True)
-            n = np.bincount(at, np.concatenate([x for _, x in parts])).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n)], ["cell", "n"])
-
-    summed = bigrams.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros((2 * n_units, width))  # bounded by UNITS and the number of classes
-    table.ravel()[summed["cell"].to_numpy()] = summed["n"].to_numpy()
-    return table[:n_units, :n_classes], table[n_units:, :n_classes], table[:n_units, n_classes]
+            for k in range(batch.num_rows):
+                own, other = (np.frombuffer(batch[c][k].as_buffer(), "<i4") for c in ("own", "other"))
+                n, line, same = np.frombuffer(batch["n"][k].as_buffer(), "<i8"), own // CHUNKS * width, own == other
+                sums = np.bincount(line + cls[other], n, lines * width) + np.bincount(line[same] + n_classes, n[same], lines * width)
+                yield pa.RecordBatch.from_arrays([batch["chunk"].slice(k, 1), pa.array([sums.astype("<f8").tobytes()], pa.binary())], ["chunk", "sums"])
+
+    tables = np.zeros((2, lines, CHUNKS, width))  # bounded by UNITS and the number of classes
+    found = bigrams.mapInArrow(run, "chunk long, sums binary").toArrow()
+    for chunk, sums in zip(found["chunk"].to_pylist(), found["sums"], strict=True):
+        tables[chunk // CHUNKS, :, chunk % CHUNKS] = np.frombuffer(sums.as_buffer(), "<f8").reshape(lines, width)
+    right, left = tables.reshape(2, -1, width)[:, :n_units]
+    return right[:, :n_classes], left[:, :n_classes], right[:, n_classes]
 
 
 def xlogx(x: np.ndarray) -> np.ndarray:
@@ -214,7 +263,7 @@ def transitions(table: np.ndarray, smoothing: float) -> np.ndarray:
 
 
 def assigned(texts: DataFrame, units: dict[bytes, int], classes: np.ndarray, table: np.ndarray, smoothing: float) -> DataFrame:
-    """(word, class) of all words that are no units: the class that makes their neighbours likeliest."""
+    """(word, c, class) of all words that are no units: the class that makes their neighbours likeliest."""
     n, first, end = len(table), len(classes) - ENDINGS, units[b"\n"]
     step = transitions(table, smoothing)
     gains = np.concatenate([step - np.log10(table.sum(axis=0) + 1), step.T])  # by class before; by class after
@@ -243,8 +292,10 @@ def assigned(texts: DataFrame, units: dict[bytes, int], classes: np.ndarray, tab
         g = shared.value[2][flat.field("cell").to_numpy()] * flat.field("n").to_numpy()[:, None]
         return pa.array(np.add.reduceat(g, at, axis=0).argmax(axis=1).astype(np.int32))
 
-    cells = texts.select("text").mapInArrow(met, "word string, cell long, n long").groupBy("word", "cell").agg(F.sum("n").alias("n"))
-    return cells.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("cell", "n"))).alias("x")).select("word", best("x").alias("class"))
+    # One exchange serves both groupings. A token has one neighbour before it, so those are its count.
+    cells = texts.select("text").mapInArrow(met, "word string, cell long, n long").repartition("word").groupBy("word", "cell").agg(F.sum("n").alias("n"))
+    found = cells.groupBy("word").agg(F.sum(F.when(F.col("cell") < n, F.col("n"))).alias("c"), F.sort_array(F.collect_list(F.struct("cell", "n"))).alias("x"))
+    return found.select("word", "c", best("x").alias("class"))
 
 
 def least_count(often: list, most: int) -> int:
@@ -275,8 +326,7 @@ def scored(docs: DataFrame, n_classes: int = 48, sweeps: int = 8, smoothing: flo
     n_units = len(units) + ENDINGS
     bigrams = staged(unit_bigrams(training, units, n_units), "bigrams")
     classes, table = clustered(bigrams, n_units, units[b"\n"], n_classes, sweeps)
-    rare = counts.where((F.col("c") < own) & (F.col("word") != END))
-    rest = staged(rare.join(assigned(training, units, classes, table, smoothing), "word"), "classes")
+    rest = staged(assigned(training, units, classes, table, smoothing), "classes")
     # Unseen words by ending.
     of_ending = classes[n_units - ENDINGS :].copy()
     by_ending = rest.groupBy((F.crc32(F.substring(F.col("word").cast("binary"), -3, 3)) % ENDINGS).alias("e"), "class").agg(F.sum("c").alias("c")).collect()
