@@ -36,7 +36,7 @@ END = "\n"
 UNITS = 1 << 15
 ENDINGS = 1024
 KNOWN = 1 << 19
-FLUSH = 1_000_000
+FLUSH = 1 << 19
 CHUNKS = 512
 
 
@@ -332,24 +332,29 @@ def scored(docs: DataFrame, n_classes: int = 48, sweeps: int = 8, smoothing: flo
     by_ending = rest.groupBy((F.crc32(F.substring(F.col("word").cast("binary"), -3, 3)) % ENDINGS).alias("e"), "class").agg(F.sum("c").alias("c")).collect()
     for r in sorted(by_ending, key=lambda r: (r["c"], -r["class"])):
         of_ending[r["e"]] = r["class"]  # the most frequent is last
-    known = {r["word"].encode(): (float(np.log10(r["c"] + 0.5)), int(classes[k])) for k, r in enumerate(frequent)}
-    known |= {r["word"].encode(): (float(np.log10(r["c"] + 0.5)), r["class"]) for r in rest.where(F.col("c") >= bound).collect()}
-    shared = spark.sparkContext.broadcast(known)
+    # The most frequent words as arrays: what they add to the score, and their classes.
+    more = rest.where(F.col("c") >= bound).select("word", "c", "class").toArrow()
+    known_words = pa.concat_arrays([pa.array([r["word"] for r in frequent], pa.string()), *more["word"].cast(pa.string()).chunks])
+    known_logs = np.log10(np.concatenate([np.array([r["c"] for r in frequent], float), more["c"].to_numpy()]) + 0.5)
+    known_classes = np.concatenate([classes[: len(frequent)], more["class"].to_numpy()]).astype("<i2")
+    shared = spark.sparkContext.broadcast((known_words, known_logs, known_classes))  # most_known words at most
     kind = "row long, doc_id long, held_out boolean, n_tokens long, sure double, ids binary, words array<string>"
     shape = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("sure", pa.float64()), ("ids", pa.binary()), ("words", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, row = shared.value, TaskContext.get().partitionId() << 40
+        (known, logs, own_class), row = shared.value, TaskContext.get().partitionId() << 40
         for part in batches:
             if not part.num_rows:
                 continue
             codes, lengths, words = coded(part["text"])
-            raw = words.cast(pa.binary()).to_pylist()
-            each = [known.get(w) for w in raw]
-            log = np.array([k[0] if k else 0.0 for k in each])[codes]
-            ids = np.array([k[1] if k else -1 - ending(w) for k, w in zip(each, raw, strict=True)], "<i2")[codes]
+            at = pc.index_in(words, value_set=known)
+            missing, at = at.is_null().to_numpy(zero_copy_only=False), pc.fill_null(at, 0).to_numpy()
+            log, cls = np.zeros(len(words)), np.zeros(len(words), "<i2")
+            log[~missing], cls[~missing] = logs[at[~missing]], own_class[at[~missing]]
+            cls[missing] = [-1 - ending(w) for w in words.filter(pa.array(missing)).cast(pa.binary()).to_pylist()]
+            log, ids = log[codes], cls[codes]
             ends = np.cumsum(lengths)
-            late = np.flatnonzero(np.array([k is None for k in each])[codes])
+            late = np.flatnonzero(missing[codes])
             cut = np.searchsorted(late, np.concatenate([[0], ends]))
             columns = [
                 pa.array(row + np.arange(len(lengths))), part["doc_id"], part["held_out"], pa.array(lengths),
