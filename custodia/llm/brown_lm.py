@@ -84,10 +84,13 @@ def in_parts(tables: Iterator[pa.Table], keys: list[str], n: str, most: int, row
         rows += t.num_rows
         if rows > most:
             whole, fresh, rows = [summed(whole + fresh, keys, n)], [], 0
+            pa.default_memory_pool().release_unused()  # two workers share an executor's memory
             if whole[0].num_rows > most:
                 yield from whole.pop().combine_chunks().to_batches(max_chunksize=rows_each)
     if whole or fresh:
         yield from summed(whole + fresh, keys, n).combine_chunks().to_batches(max_chunksize=rows_each)
+    whole, fresh = [], []
+    pa.default_memory_pool().release_unused()
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -141,7 +144,7 @@ def unit_bigrams(texts: DataFrame, units: dict[bytes, int], n_units: int) -> Dat
         return pa.table({"pair": found.field("values"), "n": found.field("counts")})
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in in_parts((counts(b) for b in batches if b.num_rows), ["pair"], "n", 2 * FLUSH, FLUSH):
+        for part in in_parts((counts(b) for b in batches if b.num_rows), ["pair"], "n", FLUSH, FLUSH):
             yield from by_chunk(part["pair"].to_numpy(), part["n"].to_numpy(), n_units)
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
