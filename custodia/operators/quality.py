@@ -25,6 +25,11 @@ def fact_rules() -> dict[str, Column]:
     }
 
 
+def amendment_rules() -> dict[str, Column]:
+    """What a later release must satisfy; the rest of the row was judged when it was loaded."""
+    return {"release_before_booking": fact_rules()["release_before_booking"]}
+
+
 def geography_rules() -> dict[str, Column]:
     return {"bad_zip": F.coalesce(F.col("zip_code").rlike(r"^\d{5}$"), F.lit(False))}
 

@@ -5,6 +5,8 @@ Dimensions are joined in full to resolve keys; nothing is collected to the drive
 
 from __future__ import annotations
 
+import functools
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -82,14 +84,26 @@ def current_geography(history: DataFrame) -> DataFrame:
     return history.groupBy("zip_code").agg(newest).select("zip_code", *[f"row.{n}" for n in names])
 
 
-def unseen_inmates(bookings: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """The people not yet in the dimension, with the attributes of their first booking."""
-    people = _with_missing(bookings, PERSON_ATTRIBUTES, "string")
+def unseen_inmates(
+    bookings: DataFrame, existing: DataFrame | None = None, with_home: bool = False
+) -> DataFrame:
+    """The people not yet in the dimension, with the attributes of their first booking.
+
+    ``with_home`` adds that booking's ZIP as ``home_zip_code``; everybody without an identifier
+    is one row, which has no home.
+    """
+    people = _with_missing(bookings, PERSON_ATTRIBUTES + ["zip_code"], "string")
     bucket = F.coalesce("age_bucket", F.lit(config.AGE_BUCKETS[-1])).alias("age_bucket")
+    attributes = [bucket, F.col("gender"), F.col("race_ethnicity")]
+    names = list(PERSON_ATTRIBUTES)
+    if with_home:
+        named = F.col("inmate_id_hash") != config.UNKNOWN_PERSON
+        attributes.append(F.when(named, F.col("zip_code")).alias("home_zip_code"))
+        names.append("home_zip_code")
     batch = (
         people.groupBy("inmate_id_hash")
-        .agg(_first_seen(bucket, F.col("gender"), F.col("race_ethnicity")).alias("first"))
-        .select("inmate_id_hash", *[f"first.{name}" for name in PERSON_ATTRIBUTES])
+        .agg(_first_seen(*attributes).alias("first"))
+        .select("inmate_id_hash", *[f"first.{name}" for name in names])
     )
     return _new_rows(batch, existing, "inmate_id_hash")
 
@@ -294,6 +308,40 @@ def fact_candidates(
     return with_defaults(with_generated(keyed), FACT_DEFAULTS)
 
 
+def current_facts(facts: DataFrame, amendments: DataFrame | None) -> DataFrame:
+    """Stored facts with what later loads have learned of them: the newest amendment of each.
+
+    Amendments hold the whole later state of a booking. They are few beside the facts, so whether
+    they are sent to the facts or both are sorted is left to the planner, which knows their size.
+    """
+    if amendments is None:
+        return facts
+    newest = F.max(F.struct("load_no", *_LATER)).alias("_new")
+    latest = amendments.groupBy("detention_key").agg(newest)
+    joined = facts.join(latest, "detention_key", "left")
+    later = {name: F.coalesce(F.col(f"_new.{name}"), F.col(name)) for name in _LATER}
+    return with_generated(joined.withColumns(later)).select(*facts.columns)
+
+
+def amendments(bookings: DataFrame, stored_facts: DataFrame) -> DataFrame:
+    """What a batch adds to bookings loaded before: a release, payment or disposition that the stored
+    row (``current_facts``) lacks. A value that is known already stays.
+
+    Bookings without an identifier cannot be met again: all their details tell them apart.
+    """
+    batch = one_row_per_event(projected(bookings)).select(
+        "event_id", *[F.col(name).alias(f"_{name}") for name in _LATER]
+    )
+    learned = [F.col(name).isNull() & F.col(f"_{name}").isNotNull() for name in _LATER]
+    known = stored_facts.select("event_id", "detention_key", "jurisdiction", "booking_date", *_LATER)
+    return (
+        known.join(batch, "event_id")
+        .filter(functools.reduce(Column.__or__, learned))
+        .withColumns({name: F.coalesce(F.col(name), F.col(f"_{name}")) for name in _LATER})
+        .select("detention_key", "jurisdiction", "booking_date", *_LATER)
+    )
+
+
 def new_facts(candidates: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Fact rows with keys that go on from the largest one in use.
 

@@ -2,8 +2,9 @@
 
     python -m custodia.plans.load --snapshot DIR --warehouse DIR [--rebuild]
 
-All tables are only ever added to; a ZIP with new figures gets a new row. The two
-marts are written anew.
+All tables are only ever added to; a ZIP with new figures gets a new row, and a booking of which a
+later batch knows more (a release, payment or disposition) a row in fact_amendment. The two marts
+are written anew.
 """
 
 from __future__ import annotations
@@ -52,6 +53,23 @@ def _append(df: DataFrame, path: str, rebuild: bool, *partition_by: str) -> None
     df.write.mode("overwrite" if rebuild else "append").partitionBy(*partition_by).parquet(path)
 
 
+def _refuse(judged: DataFrame, key: str, load_no, root: str, rebuild: bool) -> None:
+    """Keys of a dimension that break a rule, with the reason and the number of the load."""
+    refused = judged.filter(F.col("reason").isNotNull())
+    _append(refused.select(F.col(key).alias("value"), "reason", load_no.alias("load_no")), f"{root}/rejected_{key}", rebuild)
+
+
+def _amend(spark: SparkSession, bookings: DataFrame, facts: DataFrame, root: str, load_no) -> None:
+    """Append what the batch adds to stored bookings, and apart from it what breaks a rule."""
+    path = f"{root}/fact_amendment"
+    current = warehouse.current_facts(facts, _existing(spark, path))
+    found = quality.judged(warehouse.amendments(bookings, current), quality.amendment_rules())
+    found = _staged(found.withColumn("load_no", load_no), f"{root}/fact_amendment_next")
+    for rows, place in ((found.filter("reason is null").drop("reason"), path), (found.filter("reason is not null"), f"{root}/rejected_amendment")):
+        if not rows.isEmpty():  # reports join amendments only where there are any
+            rows.write.mode("append").parquet(place)
+
+
 def _by_date(facts: DataFrame) -> DataFrame:
     """Files that each hold a short span of days, so that a report's date limit skips most of
     them. The key as last range column splits days that hold very many bookings."""
@@ -67,20 +85,25 @@ def load(spark: SparkSession, bookings: DataFrame, root: str, rebuild: bool = Fa
     """
     path = {name: f"{root}/{name}" for name in TABLES}
     old = {name: None if rebuild else _existing(spark, path[name]) for name in TABLES}
+    if rebuild and (later := _existing(spark, f"{root}/fact_amendment")) is not None:
+        later.limit(0).write.mode("overwrite").parquet(f"{root}/fact_amendment")  # keys start anew
 
     history = old["dim_geography"]
     current = None if history is None else warehouse.current_geography(history)
-    zips = quality.valid(warehouse.upsert_geography(bookings, current), quality.geography_rules())
-    zips = schemas.conformed(zips, schemas.DIM_GEOGRAPHY)
     load_no = F.lit(1 if rebuild else _next_load(spark, root))
+    judged = quality.judged(warehouse.upsert_geography(bookings, current), quality.geography_rules())
+    judged = _staged(judged, f"{root}/dim_geography_next")
+    _refuse(judged, "zip_code", load_no, root, rebuild)
+    zips = schemas.conformed(judged.filter(F.col("reason").isNull()), schemas.DIM_GEOGRAPHY)
     if history is not None:
         zips = zips.exceptAll(current.select(*zips.columns))
     _append(zips.withColumn("load_no", load_no), path["dim_geography"], rebuild)
 
     # Numbering reads its rows twice (counts, then ranks), so they are written before it.
-    people = _staged(warehouse.unseen_inmates(bookings, old["dim_inmate"]), f"{root}/dim_inmate_next")
-    people = quality.valid(people, quality.inmate_rules())
-    people = warehouse.keyed_inmates(people, old["dim_inmate"])
+    people = warehouse.unseen_inmates(bookings, old["dim_inmate"], with_home=True)
+    people = _staged(quality.judged(people, quality.inmate_rules()), f"{root}/dim_inmate_next")
+    _refuse(people, "inmate_id_hash", load_no, root, rebuild)
+    people = warehouse.keyed_inmates(people.filter(F.col("reason").isNull()), old["dim_inmate"])
     _append(schemas.conformed(people, schemas.DIM_INMATE), path["dim_inmate"], rebuild)
     places = warehouse.new_facilities(bookings, old["dim_facility"])
     _append(schemas.conformed(places, schemas.DIM_FACILITY), path["dim_facility"], rebuild)
@@ -90,6 +113,7 @@ def load(spark: SparkSession, bookings: DataFrame, root: str, rebuild: bool = Fa
         # Only bookings of the batch's own days can have been loaded before.
         first_day = warehouse.projected(bookings).agg(F.min("booking_date")).first()[0]
         known = loaded if first_day is None else loaded.filter(F.col("booking_date") >= first_day)
+        _amend(spark, bookings, known, root, load_no)
     else:
         known = None
     judged = quality.judged(

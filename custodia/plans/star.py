@@ -6,11 +6,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from custodia import schemas
 from custodia.operators.charges import charge_dimension
-from custodia.operators.warehouse import current_geography
+from custodia.operators.warehouse import current_facts, current_geography
 
 Maker = Callable[[], DataFrame]
 
@@ -64,8 +65,15 @@ def stored(spark: SparkSession, root: str) -> Star:
         kind = schemas.STORED[name]
         return lambda: spark.read.schema(kind).parquet(f"{root}/{name}")
 
+    def facts() -> DataFrame:
+        try:
+            later = table("fact_amendment")()
+        except AnalysisException:  # no load has learned more of a stored booking
+            later = None
+        return current_facts(table("fact_detention")(), later)
+
     return Star(
-        make_fact=table("fact_detention"),
+        make_fact=facts,
         make_inmate=table("dim_inmate"),
         make_facility=table("dim_facility"),
         make_charges=lambda: charge_dimension(spark),

@@ -31,6 +31,11 @@ FACT_DETENTION = (
     " source_system string, etl_batch_id string, etl_loaded_at string, jurisdiction string"
 )
 
+FACT_AMENDMENT = (
+    "detention_key bigint, jurisdiction string, booking_date date, release_date date,"
+    " bail_paid boolean, case_disposition string, load_no int"
+)
+
 
 def conformed(df: DataFrame, ddl: str) -> DataFrame:
     """The schema's columns in its order and types; null where ``df`` lacks one."""
@@ -47,4 +52,5 @@ STORED = {
     "dim_facility": DIM_FACILITY,
     "dim_inmate": DIM_INMATE,
     "fact_detention": FACT_DETENTION,
+    "fact_amendment": FACT_AMENDMENT,
 }

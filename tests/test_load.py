@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from custodia.fixtures import registry_etl as etl
-from custodia.operators import warehouse
+from custodia.operators import quality, warehouse
 from custodia.plans import addiction, bail_gap, conditions, innocence, marts, plea, reform
 from custodia.plans.load import load
 from custodia.plans.star import stored, stored_mart
@@ -143,6 +143,70 @@ def test_rejects_of_earlier_loads_stay_and_a_load_may_have_no_valid_row(spark, t
     assert n > 0 and {r.load_no: r["count"] for r in kept}[1] == n
 
 
+def later_known(spark, root):
+    """What may become known later of each booking of a person with an identifier."""
+    star = stored(spark, root)
+    people = star.inmate.filter("inmate_id_hash <> 'UNKNOWN'").select("inmate_key")
+    names = ["event_id", "release_date", "detention_length_days", "bail_paid", "pretrial_detention_flag", "case_disposition"]
+    return {r.event_id: tuple(r)[1:] for r in star.fact.join(people, "inmate_key").select(*names).collect()}
+
+
+def test_a_later_load_completes_stored_bookings(spark, tmp_path):
+    _, whole = etl.stored_batches(spark, SF)
+    late = {n: F.lit(None).cast(whole.schema[n].dataType) for n in ("release_date", "discharge_date", "bail_paid", "case_disposition") if n in whole.columns}
+    assert late
+    early, at_once, in_steps = whole.withColumns(late), str(tmp_path / "a"), str(tmp_path / "b")
+    load(spark, whole, at_once)
+    load(spark, early, in_steps)
+    before = later_known(spark, in_steps)
+    numbers = dict(keys(spark, in_steps)["facts"])
+    load(spark, whole, in_steps)
+    expected, got = later_known(spark, at_once), later_known(spark, in_steps)
+    # A release before the booking refuses a new booking, but only itself where the booking is stored.
+    refused = spark.read.parquet(f"{at_once}/rejected").filter("reason = 'release_before_booking'")
+    kept = {r.event_id for r in refused.select("event_id").collect()} & set(got)
+    assert before != got == expected | {k: before[k] for k in kept} and kept
+    assert spark.read.parquet(f"{in_steps}/rejected_amendment").count() >= len(kept)
+    assert numbers.items() <= dict(keys(spark, in_steps)["facts"]).items()
+    n = spark.read.parquet(f"{in_steps}/fact_amendment").count()
+    load(spark, early, in_steps)  # knows less: nothing is taken back
+    load(spark, whole, in_steps)
+    assert n == spark.read.parquet(f"{in_steps}/fact_amendment").count() and later_known(spark, in_steps) == got
+    load(spark, early, in_steps, rebuild=True)
+    assert before == later_known(spark, in_steps)
+
+
+def test_amendments_fill_only_what_is_missing(spark):
+    kind = "inmate_id_hash string, booking_date string, release_date string, bail_paid string, case_disposition string, source_system string, jurisdiction string"
+    rows = [("p", "2020-01-01", "2020-02-01", "true", None, "s", "NYC"), ("q", "2020-01-01", "2020-03-01", None, "Dismissed", "s", "NYC"), ("r", "2020-01-01", "2019-01-01", None, None, "s", "NYC"), ("n", "2020-01-01", None, None, None, "s", "NYC")]
+    batch = spark.createDataFrame(rows, kind)
+    events = warehouse.one_row_per_event(warehouse.projected(batch)).withColumn("detention_key", F.when(F.col("inmate_id_hash") == "p", 1).when(F.col("inmate_id_hash") == "q", 2).when(F.col("inmate_id_hash") == "r", 3).otherwise(4).cast("long"))
+    known = F.col("detention_key") == 2
+    facts = events.withColumns({
+        "release_date": F.when(known, F.lit("2020-02-15").cast("date")), "bail_paid": F.when(known, False), "case_disposition": F.lit(None).cast("string"),
+        "detention_length_days": F.lit(None).cast("int"), "pretrial_detention_flag": F.lit(True),
+    })
+    made = warehouse.amendments(batch, facts)
+    assert {(r.detention_key, str(r.release_date), r.bail_paid, r.case_disposition) for r in made.collect()} == {(1, "2020-02-01", True, None), (2, "2020-02-15", False, "Dismissed"), (3, "2019-01-01", None, None)}
+    judged = quality.judged(made, quality.amendment_rules())
+    assert [(r.detention_key, r.reason) for r in judged.filter("reason is not null").collect()] == [(3, "release_before_booking")]
+    good = judged.filter("reason is null").drop("reason").withColumn("load_no", F.lit(2))
+    older = good.withColumns({"load_no": F.lit(1), "case_disposition": F.lit("Open")})
+    now = {r.detention_key: r for r in warehouse.current_facts(facts, good.unionByName(older)).collect()}
+    assert now[1].detention_length_days == 31 and now[2].case_disposition == "Dismissed" and now[2].detention_length_days == 45
+    assert now[3].release_date is None and now[4].release_date is None and len(now) == 4
+
+
+def test_people_have_homes_and_refused_keys_a_reason(spark, tmp_path):
+    _, first = etl.stored_batches(spark, SF)
+    odd = first.filter("inmate_id_hash <> 'UNKNOWN' and zip_code is not null").limit(5).withColumns({"zip_code": F.lit("ABCDE"), "age_bucket": F.lit("old"), "inmate_id_hash": F.concat(F.lit("odd"), "inmate_id_hash")})
+    load(spark, first.unionByName(odd), str(tmp_path))
+    people = stored(spark, str(tmp_path)).inmate
+    assert people.filter("home_zip_code is not null").count() > 0 and people.filter("inmate_id_hash = 'UNKNOWN' and home_zip_code is not null").count() == 0
+    assert [tuple(r) for r in spark.read.parquet(f"{tmp_path}/rejected_zip_code").collect()] == [("ABCDE", "bad_zip", 1)]
+    assert {tuple(r)[1:] for r in spark.read.parquet(f"{tmp_path}/rejected_inmate_id_hash").collect()} == {("bad_age_bucket", 1)}
+
+
 def test_rebuild_starts_from_empty(spark, tmp_path):
     first, _ = etl.stored_batches(spark, SF)
     load(spark, first, str(tmp_path))
