@@ -160,6 +160,8 @@ SOURCES = [
     Source("MD Jail Data — AGGREGATE ONLY", "MD", UNVERIFIED, "year"),
     Source("DC DOC Population (Aggregate)", "DC", "population-statistics", "report_date", kind="features"),
 ]
+# Daily custody and, once released, the discharge of the same admission.
+CUSTODY_SOURCE, DISCHARGE_SOURCE = SOURCES[0].name, SOURCES[1].name
 # Fields of booking records obtained from courts or by records request (already schema names).
 COURT_COLUMNS = [
     "inmate_id", "booking_date", "release_date", "race_ethnicity", "gender", "age",

@@ -40,6 +40,16 @@ def inmate_rules() -> dict[str, Column]:
     }
 
 
+def facility_rules() -> dict[str, Column]:
+    """What a row of facility attributes must satisfy; open figures pass."""
+    counts = ["rated_capacity", "deaths_in_custody_ytd", "use_of_force_incidents_ytd", "solitary_population"]
+    return {
+        "no_facility": F.col("facility_id").isNotNull(),
+        "unknown_jurisdiction": F.coalesce(F.col("jurisdiction").isin(config.JURISDICTIONS), F.lit(False)),
+        **{f"negative_{n}": F.coalesce(F.col(n) >= 0, F.lit(True)) for n in counts},
+    }
+
+
 def judged(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """The first broken rule of each row as ``reason``; null for good rows."""
     reason = F.coalesce(

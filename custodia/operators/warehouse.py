@@ -350,3 +350,78 @@ def new_facts(candidates: DataFrame, existing: DataFrame | None = None) -> DataF
     """
     start = _largest(existing, "detention_key")
     return numbered(candidates, "event_id", "detention_key", start, digest=True)
+
+
+def changed_evictions(geography: DataFrame, rates: DataFrame) -> DataFrame:
+    """The ZIPs whose eviction figures a file changes, as whole new rows.
+
+    A ZIP that the file lacks, and a figure that it leaves open, stay as they are. Of several rows
+    of a ZIP the largest figures are taken.
+    """
+    names = ["eviction_rate_per_100", "eviction_filing_rate"]
+    given = rates.filter(F.col("zip_code").isNotNull()).groupBy("zip_code").agg(*[F.max(n).alias(f"_{n}") for n in names])
+    new = {n: F.coalesce(F.col(f"_{n}"), F.col(n)) for n in names}
+    differs = functools.reduce(Column.__or__, [~F.col(n).eqNullSafe(c) for n, c in new.items()])
+    return geography.join(given, "zip_code").filter(differs).withColumns(new).select(*geography.columns)
+
+
+def identified(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows that name a facility, with its id: the given one, else that of a known facility of the
+    name, else the one that a booking with this name would get."""
+    named = ["jurisdiction", "facility_name"]
+    ids = known.groupBy(*named).agg(F.min("facility_id").alias("_known"))
+    made = facility_id(F.col("jurisdiction"), F.col("facility_name"))
+    found = [F.col(n) for n in ("facility_id", "_known") if n == "_known" or n in rows.columns]
+    joined = rows.join(ids, named, "left")
+    return joined.withColumn("facility_id", F.coalesce(*found, made)).drop("_known")
+
+
+def current_facilities(facilities: DataFrame, updates: DataFrame | None) -> DataFrame:
+    """Facilities with the newest known value of each attribute; updates leave unknown ones null."""
+    if updates is None:
+        return facilities
+    names = [n for n in updates.columns if n not in ("facility_id", "load_no")]
+    newest = [F.max_by(n, F.when(F.col(n).isNotNull(), F.col("load_no"))).alias(f"_{n}") for n in names]
+    latest = updates.groupBy("facility_id").agg(*newest)
+    known = {n: F.coalesce(F.col(f"_{n}"), F.col(n)) for n in names}
+    return facilities.join(latest, "facility_id", "left").withColumns(known).select(*facilities.columns)
+
+
+def facility_updates(attributes: DataFrame, current: DataFrame, geography: DataFrame) -> DataFrame:
+    """What a file of attributes changes: one row per facility with the values that are new.
+
+    Of several rows of a facility the largest value of each attribute is taken.
+    """
+    names = [
+        "facility_type", "security_level", "rated_capacity", "geo_key", "deaths_in_custody_ytd",
+        "use_of_force_incidents_ytd", "solitary_population", "federal_oversight", "oversight_reason",
+        "conditions_last_updated",
+    ]
+    placed = attributes
+    if "zip_code" in attributes.columns:
+        placed = attributes.join(geography.select("zip_code", "geo_key"), "zip_code", "left")
+    present = [n for n in names if n in placed.columns]
+    given = placed.groupBy("facility_id").agg(*[F.max(n).alias(f"_{n}") for n in present])
+    new = {n: F.when(~F.col(f"_{n}").eqNullSafe(F.col(n)), F.col(f"_{n}")) for n in present}
+    joined = given.join(current.select("facility_id", *present), "facility_id")
+    return joined.withColumns(new).select("facility_id", *present).dropna("all", subset=present)
+
+
+def added_facilities(attributes: DataFrame, known: DataFrame) -> DataFrame:
+    """W03 for a file of attributes: dimension rows of facilities that no booking has named yet."""
+    seen = attributes.groupBy("facility_id").agg(
+        F.min(F.coalesce("facility_name", "facility_id")).alias("facility_name"), F.min("jurisdiction").alias("jurisdiction")
+    )
+    added = numbered(_new_rows(seen, known, "facility_id"), "facility_id", "facility_key", _largest(known, "facility_key"))
+    return added.withColumn("federal_oversight", F.lit(False))
+
+
+def deaths_to_date(deaths: DataFrame, known: DataFrame, as_of) -> DataFrame:
+    """Deaths of the year of ``as_of`` up to that day, for each facility in the register."""
+    today = F.lit(as_of).cast("date")
+    counts = F.col("death_date").between(F.trunc(today, "year").cast("date"), today)
+    per_name = deaths.groupBy("jurisdiction", "facility_name").agg(F.count_if(counts).alias("n"))
+    return (
+        identified(per_name, known).filter(F.col("facility_id").isNotNull())
+        .groupBy("facility_id").agg(F.sum("n").alias("deaths_in_custody_ytd"))
+    )

@@ -14,6 +14,7 @@ from datetime import date, datetime
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from custodia import config
 from custodia.operators import census, intake, privacy
 from custodia.operators.quality import coverage, run_summary, warn_low_coverage
 from custodia.sources import landing, sinks
@@ -63,6 +64,30 @@ def write_unreadable(spark: SparkSession, paths: dict[str, str], sources, salt:
         log.warning("source %s: %d texts could not be read", r["source_system"], r["count"])
 
 
+def timeline_of(snapshot: str) -> str:
+    """Where the detention timeline lies, beside its snapshot."""
+    folder, _, stamp = snapshot.rpartition("enriched_")
+    return f"{folder}timeline_{stamp}"
+
+
+def write_timeline(spark: SparkSession, snapshot: str, place: str) -> None:
+    """How long each admission in the daily custody lasted, as far as the discharges say.
+
+    Both come from the written snapshot, where persons are digests; nothing is written unless both
+    sources had rows.
+    """
+    rows = sinks.read_snapshot(spark, snapshot)
+    if "release_date" not in rows.columns:
+        return
+    own = rows.select("inmate_id_hash", "booking_date", "release_date", "source_system")
+    held = own.filter(F.col("source_system") == config.CUSTODY_SOURCE).drop("release_date")
+    freed = own.filter(F.col("source_system") == config.DISCHARGE_SOURCE)
+    if held.isEmpty() or freed.isEmpty():
+        return
+    made = intake.detention_timeline(held, freed)
+    made.select("inmate_id_hash", "booking_day", "release_day", "days_detained").write.mode("overwrite").parquet(place)
+
+
 def run(
     spark: SparkSession,
     landing_root: str,
@@ -83,6 +108,7 @@ def run(
     context = census.context_by_zip(landing.read_census(spark, census_path, whole_files)) if census_path else None
     salt = privacy.salt_from_environment()
     snapshot = sinks.write_snapshot(enriched(bookings, context, salt), out)
+    write_timeline(spark, snapshot, timeline_of(snapshot))
     write_unreadable(spark, paths, chosen, salt, unreadable_of(snapshot), whole_files)
     return snapshot
 

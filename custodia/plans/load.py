@@ -24,17 +24,18 @@ from custodia.sources.sinks import read_snapshot
 TABLES = ["dim_geography", "dim_inmate", "dim_facility", "fact_detention"]
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+def existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """A stored table; None where no load has written it."""
     try:
         return spark.read.schema(schemas.STORED[path.rsplit("/", 1)[-1]]).parquet(path)
     except AnalysisException:
         return None
 
 
-def _next_load(spark: SparkSession, root: str) -> int:
+def next_load(spark: SparkSession, root: str) -> int:
     """One more than the largest load number of a stored row, refused ones included."""
     numbers = [0]
-    for name in ("dim_geography", "rejected"):
+    for name in ("dim_geography", "rejected", "facility_update"):
         try:
             rows = spark.read.schema("load_no int").parquet(f"{root}/{name}")
         except AnalysisException:
@@ -49,20 +50,20 @@ def _staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _append(df: DataFrame, path: str, rebuild: bool, *partition_by: str) -> None:
+def append(df: DataFrame, path: str, rebuild: bool, *partition_by: str) -> None:
     df.write.mode("overwrite" if rebuild else "append").partitionBy(*partition_by).parquet(path)
 
 
-def _refuse(judged: DataFrame, key: str, load_no, root: str, rebuild: bool) -> None:
+def refuse(judged: DataFrame, key: str, load_no, root: str, rebuild: bool) -> None:
     """Keys of a dimension that break a rule, with the reason and the number of the load."""
     refused = judged.filter(F.col("reason").isNotNull())
-    _append(refused.select(F.col(key).alias("value"), "reason", load_no.alias("load_no")), f"{root}/rejected_{key}", rebuild)
+    append(refused.select(F.col(key).alias("value"), "reason", load_no.alias("load_no")), f"{root}/rejected_{key}", rebuild)
 
 
 def _amend(spark: SparkSession, bookings: DataFrame, facts: DataFrame, root: str, load_no) -> None:
     """Append what the batch adds to stored bookings, and apart from it what breaks a rule."""
     path = f"{root}/fact_amendment"
-    current = warehouse.current_facts(facts, _existing(spark, path))
+    current = warehouse.current_facts(facts, existing(spark, path))
     found = quality.judged(warehouse.amendments(bookings, current), quality.amendment_rules())
     found = _staged(found.withColumn("load_no", load_no), f"{root}/fact_amendment_next")
     for rows, place in ((found.filter("reason is null").drop("reason"), path), (found.filter("reason is not null"), f"{root}/rejected_amendment")):
@@ -84,29 +85,30 @@ def load(spark: SparkSession, bookings: DataFrame, root: str, rebuild: bool = Fa
     written next to the fact table with the reason (W13).
     """
     path = {name: f"{root}/{name}" for name in TABLES}
-    old = {name: None if rebuild else _existing(spark, path[name]) for name in TABLES}
-    if rebuild and (later := _existing(spark, f"{root}/fact_amendment")) is not None:
-        later.limit(0).write.mode("overwrite").parquet(f"{root}/fact_amendment")  # keys start anew
+    old = {name: None if rebuild else existing(spark, path[name]) for name in TABLES}
+    for name in ("fact_amendment", "facility_update"):
+        if rebuild and (later := existing(spark, f"{root}/{name}")) is not None:
+            later.limit(0).write.mode("overwrite").parquet(f"{root}/{name}")  # keys start anew
 
     history = old["dim_geography"]
     current = None if history is None else warehouse.current_geography(history)
-    load_no = F.lit(1 if rebuild else _next_load(spark, root))
+    load_no = F.lit(1 if rebuild else next_load(spark, root))
     judged = quality.judged(warehouse.upsert_geography(bookings, current), quality.geography_rules())
     judged = _staged(judged, f"{root}/dim_geography_next")
-    _refuse(judged, "zip_code", load_no, root, rebuild)
+    refuse(judged, "zip_code", load_no, root, rebuild)
     zips = schemas.conformed(judged.filter(F.col("reason").isNull()), schemas.DIM_GEOGRAPHY)
     if history is not None:
         zips = zips.exceptAll(current.select(*zips.columns))
-    _append(zips.withColumn("load_no", load_no), path["dim_geography"], rebuild)
+    append(zips.withColumn("load_no", load_no), path["dim_geography"], rebuild)
 
     # Numbering reads its rows twice (counts, then ranks), so they are written before it.
     people = warehouse.unseen_inmates(bookings, old["dim_inmate"], with_home=True)
     people = _staged(quality.judged(people, quality.inmate_rules()), f"{root}/dim_inmate_next")
-    _refuse(people, "inmate_id_hash", load_no, root, rebuild)
+    refuse(people, "inmate_id_hash", load_no, root, rebuild)
     people = warehouse.keyed_inmates(people.filter(F.col("reason").isNull()), old["dim_inmate"])
-    _append(schemas.conformed(people, schemas.DIM_INMATE), path["dim_inmate"], rebuild)
+    append(schemas.conformed(people, schemas.DIM_INMATE), path["dim_inmate"], rebuild)
     places = warehouse.new_facilities(bookings, old["dim_facility"])
-    _append(schemas.conformed(places, schemas.DIM_FACILITY), path["dim_facility"], rebuild)
+    append(schemas.conformed(places, schemas.DIM_FACILITY), path["dim_facility"], rebuild)
 
     loaded = old["fact_detention"]
     if loaded is not None:
@@ -119,9 +121,9 @@ def load(spark: SparkSession, bookings: DataFrame, root: str, rebuild: bool = Fa
     judged = quality.judged(
         warehouse.fact_candidates(
             bookings,
-            warehouse.current_geography(_existing(spark, path["dim_geography"])),
-            _existing(spark, path["dim_inmate"]),
-            _existing(spark, path["dim_facility"]),
+            warehouse.current_geography(existing(spark, path["dim_geography"])),
+            existing(spark, path["dim_inmate"]),
+            existing(spark, path["dim_facility"]),
             charge_dimension(spark),
             known,
         ),
@@ -131,9 +133,9 @@ def load(spark: SparkSession, bookings: DataFrame, root: str, rebuild: bool = Fa
     candidates = _staged(judged, f"{root}/fact_detention_next")
     good = candidates.filter(F.col("reason").isNull())
     refused = candidates.filter(F.col("reason").isNotNull()).withColumn("load_no", load_no)
-    _append(refused, f"{root}/rejected", rebuild)
+    append(refused, f"{root}/rejected", rebuild)
     facts = schemas.conformed(warehouse.new_facts(good, loaded), schemas.FACT_DETENTION)
-    _append(_by_date(facts), path["fact_detention"], rebuild, "jurisdiction")
+    append(_by_date(facts), path["fact_detention"], rebuild, "jurisdiction")
     star = stored(spark, root)
     refresh(star, root)
     return star

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from custodia import schemas
 from custodia.operators.charges import charge_dimension
-from custodia.operators.warehouse import current_facts, current_geography
+from custodia.operators.warehouse import current_facilities, current_facts, current_geography
 
 Maker = Callable[[], DataFrame]
 
@@ -65,17 +65,16 @@ def stored(spark: SparkSession, root: str) -> Star:
         kind = schemas.STORED[name]
         return lambda: spark.read.schema(kind).parquet(f"{root}/{name}")
 
-    def facts() -> DataFrame:
+    def optional(name: str) -> DataFrame | None:
         try:
-            later = table("fact_amendment")()
-        except AnalysisException:  # no load has learned more of a stored booking
-            later = None
-        return current_facts(table("fact_detention")(), later)
+            return table(name)()
+        except AnalysisException:  # no job has had rows for it
+            return None
 
     return Star(
-        make_fact=facts,
+        make_fact=lambda: current_facts(table("fact_detention")(), optional("fact_amendment")),
         make_inmate=table("dim_inmate"),
-        make_facility=table("dim_facility"),
+        make_facility=lambda: current_facilities(table("dim_facility")(), optional("facility_update")),
         make_charges=lambda: charge_dimension(spark),
         make_geography=lambda: current_geography(table("dim_geography")()),
     )

@@ -36,6 +36,18 @@ FACT_AMENDMENT = (
     " bail_paid boolean, case_disposition string, load_no int"
 )
 
+FACILITY_UPDATE = (
+    "facility_id string, facility_type string, security_level string, rated_capacity bigint,"
+    " geo_key bigint, deaths_in_custody_ytd bigint, use_of_force_incidents_ytd bigint,"
+    " solitary_population bigint, federal_oversight boolean, oversight_reason string,"
+    " conditions_last_updated date"
+)
+DEATHS = (
+    "facility_name string, jurisdiction string, death_date date, manner_of_death string,"
+    " conviction_status string, age_at_death int, gender string, race_ethnicity string,"
+    " charge_at_death string, days_detained int, source string, source_url string"
+)
+
 
 def conformed(df: DataFrame, ddl: str) -> DataFrame:
     """The schema's columns in its order and types; null where ``df`` lacks one."""
@@ -53,4 +65,6 @@ STORED = {
     "dim_inmate": DIM_INMATE,
     "fact_detention": FACT_DETENTION,
     "fact_amendment": FACT_AMENDMENT,
+    "facility_update": f"{FACILITY_UPDATE}, load_no int",
+    "stg_deaths_in_custody": DEATHS,
 }

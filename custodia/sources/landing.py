@@ -187,6 +187,14 @@ EVICTION_SCHEMA = (
     "zip string, eviction_rate double, eviction_filing_rate double, low_income_renter_pct double"
 )
 
+FACILITY_SCHEMA = (
+    "facility_id string, facility_name string, jurisdiction string, zip string,"
+    " facility_type string, security_level string, rated_capacity bigint,"
+    " deaths_in_custody_ytd bigint, use_of_force_incidents_ytd bigint,"
+    " solitary_population bigint, federal_oversight boolean, oversight_reason string,"
+    " conditions_last_updated date"
+)
+
 
 def read_csv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """The schema's columns by their names in the header, in whatever order and company; what is
@@ -249,3 +257,9 @@ def with_evictions(geography: DataFrame, evictions: DataFrame) -> DataFrame:
     """Geography with the eviction columns filled in where the ZIP is known."""
     kept = [name for name in geography.columns if not name.startswith("eviction_")]
     return geography.select(*kept).join(evictions, "zip_code", "left")
+
+
+def read_facilities(spark: SparkSession, path: str) -> DataFrame:
+    """Published attributes of facilities."""
+    rows = read_csv(spark, path, FACILITY_SCHEMA)
+    return rows.withColumn("zip_code", zip5(F.col("zip"))).drop("zip")
