@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custodia.llm.common import small_batches, staged
+from custodia.llm.common import dropped_at_end, new_place, small_batches
 
 #: The base rules (pattern, group that counts, least length), in their order.
 BASE_RULES = {
@@ -105,14 +105,18 @@ def unseen(docs: DataFrame, ledger: DataFrame | None, versions: dict[str, str])
 def scan(docs: DataFrame, ledger: str | None = None, names: list[str] | None = None) -> DataFrame:
     """docs with blob and findings (all spans by start, then by the order of the rules).
 
-    ledger: a Parquet folder of (blob, rule, version, findings) that the scan reads and appends to.
+    ledger: a Parquet folder of (blob, rule, version, findings) that the scan reads and appends to;
+    without one, a new ledger is kept in the shared folder until the application ends.
     """
     names = list(names or RULES)
     versions = {k: version(k) for k in names}
     spark, old = docs.sparkSession, None
     small_batches(spark)
     kind = f"blob string, rule string, version string, findings {FINDINGS}"
-    if ledger is not None:
+    kept = ledger is not None
+    if not kept:
+        ledger = new_place(spark, "ledger")
+    else:
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ledger)
         if place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
             old = spark.read.schema(kind).parquet(ledger)
@@ -123,17 +127,16 @@ def scan(docs: DataFrame, ledger: str | None = None, names: list[str] | None = N
     wide = one.select(
         "blob", F.explode("rules").alias("__r"), "__f"
     ).select("blob", "__r.rule", "__r.version", F.filter("__f", lambda x: x["kind"] == F.col("__r.rule")).alias("findings"))
-    if ledger is None:
-        found = staged(one.where(F.size("__f") > 0).select("blob", F.col("__f").alias("findings")), "blobs")
-    else:
-        wide.write.mode("append").parquet(ledger)
-        whole = spark.read.schema(kind).parquet(ledger)
-        current = F.array([F.struct(F.lit(k).alias("rule"), F.lit(v).alias("version")) for k, v in versions.items()])
-        found = (
-            whole.where(F.size("findings") > 0).where(F.array_contains(current, F.struct("rule", "version")))
-            .groupBy("blob", "rule", "version").agg(F.any_value("findings").alias("findings"))
-            .groupBy("blob").agg(F.flatten(F.collect_list("findings")).alias("findings"))
-        )
+    wide.write.mode("append").parquet(ledger)
+    if not kept:
+        dropped_at_end(spark, ledger)
+    whole = spark.read.schema(kind).parquet(ledger)
+    current = F.array([F.struct(F.lit(k).alias("rule"), F.lit(v).alias("version")) for k, v in versions.items()])
+    found = (
+        whole.where(F.size("findings") > 0).where(F.array_contains(current, F.struct("rule", "version")))
+        .groupBy("blob", "rule", "version").agg(F.any_value("findings").alias("findings"))
+        .groupBy("blob").agg(F.flatten(F.collect_list("findings")).alias("findings"))
+    )
     order = F.create_map([F.lit(x) for k, name in enumerate(names) for x in (name, k)])
     by = F.transform("findings", lambda x: F.struct(x["start"].alias("start"), order[x["kind"]].alias("place"), x["end"].alias("end"), x["kind"].alias("kind")))
     found = found.select("blob", F.transform(F.array_sort(by), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))).alias("findings"))

@@ -43,17 +43,26 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def new_place(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder for one table."""
+    return f"{shared_folder(spark)}/stage-{name}-{uuid.uuid4().hex}"
+
+
+def dropped_at_end(spark: SparkSession, path: str) -> None:
+    """The files of a written table go when the application ends."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """df, written to the shared folder and read again: cuts the lineage, survives lost executors.
 
     The files go when the application ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stage-{name}-{uuid.uuid4().hex}"
+    path = new_place(spark, name)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    dropped_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
