@@ -9,7 +9,8 @@ share of all tokens, and all queues end together. The last, partial window is cu
 whose lengths are powers of two, so nothing is padded.
 
 At most REST sources can hold 1 / REST of all tokens each; the others, worth less than a token a
-window, form one queue together.
+window, form one queue together. It is cut into SLICES: a document goes to the slice in which its
+place in its own source falls, so every small source is spread over the whole queue.
 
 Nulls, empties, ties: a null text is an empty one, which still has the end token; a null source is
 a source; null or repeated ids are carried on, rows are packed one by one. Within a queue documents
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 from custodia.llm.common import small_batches, staged
 
 REST = 4096
+SLICES = 4096
 #: Chunks that a worker remembers, about 200 bytes each.
 CACHE = 400_000
 #: Chunks whose tokens depend on nothing but letter runs, digits and symbols (no apostrophes, no
@@ -213,6 +215,29 @@ class Schedule:
         return row[source], begin[source] + a - place[source], b - a, s, a - opens
 
 
+def sliced(held: DataFrame, sums: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """held with the slice of each document of the small sources that sums lists (-1 for others), and
+    for each part, source and slice the place in the shared queue of the source's first token there.
+
+    Only counts are summed; what one window sees are the parts of a small source, the groups of one
+    slice, or the slices.
+    """
+    one = Window.partitionBy("source").orderBy("part")
+    ahead = F.coalesce(F.sum("n").over(one.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    spans = sums.select(F.col("part").alias("__p"), F.col("source").alias("__s"), ahead.alias("ahead"), F.sum("n").over(Window.partitionBy("source")).alias("whole"))
+    spans = staged(spans, "spans")
+    joined = held.join(spans, (F.col("part") == F.col("__p")) & F.col("source").eqNullSafe(F.col("__s")), "left")
+    place = F.floor((F.col("ahead") + F.col("start")) * F.lit(SLICES) / F.col("whole")).cast("int")
+    joined = joined.select(*held.columns, F.coalesce(place, F.lit(-1)).alias("slice"))
+    groups = joined.where("slice >= 0").groupBy("slice", "part", "source").agg(F.sum("n").alias("n"), F.min("start").alias("first"))
+    groups = staged(groups, "slices")
+    inside = Window.partitionBy("slice").orderBy(F.xxhash64("source"), F.col("source").asc_nulls_first(), "part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)  # SLICES rows at most
+    offsets = groups.groupBy("slice").agg(F.sum("n").alias("n")).select("slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    base = F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0)) - F.col("first")
+    return joined, groups.join(offsets, "slice").select("slice", "part", "source", base.alias("base"))
+
+
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
 
 
@@ -231,12 +256,19 @@ def pack(docs: DataFrame, path: str, end: int = 1, window: int = 2048, quantum:
     totals.append(total - sum(totals))
     schedule, rest = Schedule(totals, window, quantum), len(large)
     queues = docs.sparkSession.createDataFrame([(r["source"], k) for k, r in enumerate(large)], "name string, queue int")
-    at = sums.join(F.broadcast(queues), F.col("source").eqNullSafe(F.col("name")), "left").select("part", "source", "n", F.coalesce("queue", F.lit(rest)).alias("queue"))
-    before = Window.partitionBy("queue").orderBy("part", F.col("source").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    at = staged(at.select(F.col("part").alias("__part"), F.col("source").alias("__source"), "queue", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "queues")
+    at = sums.join(F.broadcast(queues), F.col("source").eqNullSafe(F.col("name")), "left").select("part", "source", "n", "queue")
+    own = at.where("queue is not null")
+    before = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    own = own.select("part", "source", F.lit(-1).alias("slice"), "queue", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    if totals[-1]:
+        held, shared = sliced(held, at.where("queue is null").select("part", "source", "n"))
+        own = own.unionByName(shared.select("part", "source", "slice", F.lit(rest).alias("queue"), "base"))
+    else:
+        held = held.withColumn("slice", F.lit(-1))
+    at = staged(own.select(F.col("part").alias("__part"), F.col("source").alias("__source"), F.col("slice").alias("__slice"), "queue", "base"), "queues")
     # Small enough to be broadcast or not: Spark decides by the size of the written table.
-    placed = held.join(at, (F.col("part") == F.col("__part")) & F.col("source").eqNullSafe(F.col("__source")))
-    placed = placed.select("doc_id", "source", "queue", (F.col("base") + F.col("start")).alias("at"), "n", "ids")
+    same = (F.col("part") == F.col("__part")) & F.col("source").eqNullSafe(F.col("__source")) & (F.col("slice") == F.col("__slice"))
+    placed = held.join(at, same).select("doc_id", "source", "queue", (F.col("base") + F.col("start")).alias("at"), "n", "ids")
     out = pa.schema([(c, pa.string() if c == "source" else pa.int64()) for c in PACKED.replace(",", "").split()[::2]] + ([("ids", pa.list_(pa.int32()))] if with_ids else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
