@@ -203,3 +203,32 @@ def test_pipeline(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         for d in (docs.limit(40), docs.limit(0)):
             assert stage(spark, d, sf).columns == names, name
+
+
+def test_small_sources_are_spread_over_their_queue(spark, monkeypatch):
+    monkeypatch.setattr(drr_packing, "REST", 4)
+    kind = "doc_id long, text string, source string"
+    rows = [(k, "word " * 40, "large" if k % 2 else (None if k % 20 == 0 else f"s{k % 20}")) for k in range(4000)]
+    rows += [(-1, None, "tiny"), (None, "", "s2"), (7, "word", "s4")]
+    docs = spark.createDataFrame(rows, kind).repartition(5, "source")  # each source lies in one part
+    pieces = drr_packing.pack(docs, registry.tokenizer_path()).collect()
+    ends, whole = {}, {}
+    for p in pieces:
+        ends.setdefault(p.sequence_id, []).append((p.offset, p.length))
+        whole[p.source] = whole.get(p.source, 0) + p.length
+    for own in ends.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at == 2048 or at & (at - 1) == 0
+    per_doc = {}
+    for p in pieces:
+        per_doc.setdefault(p.doc_id, []).append(p)
+    assert len(per_doc) == 4002 and sum(whole.values()) == sum(p[0].doc_tokens for d, p in per_doc.items() if d != 7) + sum(p.length for p in per_doc[7])
+    quarter = max(ends) // 4
+    for source, n in whole.items():
+        if n > 1000:
+            for k in range(4):
+                part = sum(p.length for p in pieces if p.source == source and k * quarter <= p.sequence_id < (k + 1) * quarter)
+                assert abs(part / n - 0.25) < 0.06, (source, k)

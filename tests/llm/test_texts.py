@@ -279,3 +279,15 @@ def test_stars_lose_no_link(spark):
     out = {x.doc_id: x.class_id for x in probminhash_dedup.near_duplicates(docs).collect()}
     wrong = sum(out[k] != v for k, v in expected.items())
     assert wrong == 0, f"{wrong} of {len(expected)} rows in another class, {len(set(out.values()))} classes for {len(set(expected.values()))}"
+
+
+def test_a_scan_without_a_ledger_keeps_its_own(spark, folder, monkeypatch):
+    made = []
+    monkeypatch.setattr(blob_ledger, "new_place", lambda spark, name: made.append(f"{folder}/own-{name}") or made[-1])
+    docs = documents(spark)
+    blob_ledger.digest(docs).count()
+    (place,) = made
+    kept = spark.read.parquet(place)
+    n = docs.select(blob_ledger.blob_of(docs["text"])).distinct().count()
+    assert kept.count() == kept.select("blob", "rule").distinct().count() == n * len(blob_ledger.RULES)
+    assert {(r.rule, r.version) for r in kept.select("rule", "version").distinct().collect()} == {(k, blob_ledger.version(k)) for k in blob_ledger.RULES}
