@@ -5,9 +5,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from custodia import config
 from custodia.fixtures import registry_etl as etl
 from custodia.operators import warehouse
-from custodia.plans import bail_gap, conditions, context, marts
+from custodia.plans import bail_gap, conditions, context, ingest, marts
 from custodia.plans.load import load
 from custodia.plans.star import stored, stored_mart
 
@@ -121,3 +122,14 @@ def test_each_attribute_has_its_newest_value(spark):
     updates = spark.createDataFrame([("a", 5, None, 1), ("a", None, True, 2), ("a", 7, None, 3), ("c", 9, True, 1)], "facility_id string, rated_capacity bigint, federal_oversight boolean, load_no int")
     assert sorted(map(tuple, warehouse.current_facilities(facilities, updates).collect())) == [("a", 7, True), ("b", None, False)]
     assert sorted(map(tuple, warehouse.current_facilities(facilities, updates.limit(0)).collect())) == [("a", 1, False), ("b", None, False)]
+
+
+def test_ingest_writes_the_timeline_beside_its_snapshot(spark, tmp_path):
+    held, freed = config.CUSTODY_SOURCE, config.DISCHARGE_SOURCE
+    rows = [("p", "2020-01-01", None, held), ("p", "2020-01-01", "2020-01-11", freed), ("q", "2020-01-01", None, held), ("r", "2020-01-01", "2020-02-01", freed), ("UNKNOWN", "2020-01-01", None, held), ("UNKNOWN", "2020-01-01", "2020-01-02", freed)]
+    df = spark.createDataFrame(rows, "inmate_id_hash string, booking_date string, release_date string, source_system string")
+    path = f"{tmp_path}/enriched_1"
+    df.write.parquet(path)
+    ingest.write_timeline(spark, path, ingest.timeline_of(path))
+    got = {r.inmate_id_hash: r.days_detained for r in spark.read.parquet(f"{tmp_path}/timeline_1").collect()}
+    assert got == {"p": 10, "q": None, "UNKNOWN": None}
