@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from custodia.sources.workspace import written
+
 
 def roll_up(
     df: DataFrame,
@@ -140,9 +142,24 @@ def numbered(
     no single task sees every row. A hexadecimal ``digest`` has at most 65,536
     prefixes, evenly filled, whose offsets are then sent to every task.
     """
-    head = F.substring(F.col(key), 1, prefix)
+    return _counted_on(df.withColumn("_head", F.substring(F.col(key), 1, prefix)), key, name, start, digest)
+
+
+def numbered_by_range(df: DataFrame, key: str, name: str, start: Column) -> DataFrame:
+    """:func:`numbered` for a text ``key`` whose first letters are often the same, such as a name.
+
+    Rows are dealt by ranges of the key and written with the number of their range, which is then
+    the same when ranges are counted and when their rows are ranked. There are as many ranges as
+    shuffle partitions. Rows without a key are left out, as :func:`numbered` does.
+    """
+    dealt = df.filter(F.col(key).isNotNull()).repartitionByRange(F.col(key))
+    return _counted_on(written(dealt.withColumn("_head", F.spark_partition_id()), "ranges"), key, name, start, True)
+
+
+def _counted_on(df: DataFrame, key: str, name: str, start: Column, few_heads: bool) -> DataFrame:
+    """Ranks inside each ``_head`` plus the rows of all heads before it."""
     offsets = (
-        df.groupBy(head.alias("_head"))
+        df.groupBy("_head")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(
             F.col("_head"),
@@ -151,13 +168,50 @@ def numbered(
     )
     inside = Window.partitionBy("_head").orderBy(key)
     return (
-        df.withColumn("_head", head)
-        .join(F.broadcast(offsets) if digest else offsets, "_head")
+        df.join(F.broadcast(offsets) if few_heads else offsets, "_head")
         .withColumn(name, (start + F.col("_before") + F.row_number().over(inside)).cast("long"))
         .drop("_head", "_before")
     )
 
 
+# Buckets for each doubling of a value: at most 2 * 63 * 1024 buckets of whole numbers.
+PER_DOUBLING = 1024
+
+
+def percentile_of_counts(counted: DataFrame, value: str, weight: str, p: float, name: str) -> DataFrame:
+    """One row with the exact, interpolated percentile of whole numbers that occur ``weight`` times.
+
+    The aggregate of that name holds all distinct values in one task. Here counts of buckets, which
+    grow in proportion to the value, show the one or two buckets in which the percentile lies; only
+    their values are put in order. Null values take no part; without values the result is null.
+    """
+    size = F.floor(F.log2(F.abs(value) + 1) * PER_DOUBLING)
+    values = counted.filter(F.col(value).isNotNull()).select(
+        F.col(value).alias("_v"), F.col(weight).alias("_n"), (F.signum(value) * size).cast("int").alias("_bucket")
+    )
+    position = (F.col("_total") - 1) * F.lit(p)
+    buckets = (
+        values.groupBy("_bucket")
+        .agg(F.sum("_n").alias("_size"))
+        .select(
+            F.col("_bucket").alias("_b"),
+            (F.sum("_size").over(Window.orderBy("_bucket")) - F.col("_size")).alias("_start"),
+            "_size",
+            F.sum("_size").over(Window.partitionBy(F.lit(0))).alias("_total"),
+        )
+        .withColumns({"_low": F.floor(position), "_high": F.ceil(position), "_part": position - F.floor(position)})
+        .filter((F.col("_start") <= F.col("_high")) & (F.col("_start") + F.col("_size") > F.col("_low")))
+    )
+    before = F.sum("_n").over(Window.partitionBy("_bucket").orderBy("_v")) - F.col("_n")
+    ranked = values.join(F.broadcast(buckets), F.col("_bucket") == F.col("_b")).withColumn("_from", F.col("_start") + before)
+
+    def at(rank: str) -> Column:
+        held = (F.col("_from") <= F.col(rank)) & (F.col(rank) < F.col("_from") + F.col("_n"))
+        return F.max(F.when(held, F.col("_v")))
+
+    return ranked.agg((at("_low") + (at("_high") - at("_low")) * F.max("_part")).alias(name))
+
+
 SALTS = 64
 
 

@@ -7,7 +7,9 @@ import logging
 from pyspark.sql import Column, DataFrame, functions as F
 
 from custodia import config
+from custodia.functions.grouping import percentile_of_counts
 from custodia.functions.measures import from_hundredths, hundredths, mean, pct, rows, share
+from custodia.sources.workspace import written
 
 log = logging.getLogger(__name__)
 
@@ -96,21 +98,28 @@ def key_report(checks: dict[str, DataFrame]) -> DataFrame:
 def coverage(enriched: DataFrame) -> DataFrame:
     """Share of rows with a bail gap and with census data, and the median bail gap.
 
-    The median is taken over value counts, which are few, not over the rows.
+    The median is taken over value counts, not over the rows. They are written once: the totals, the
+    counts of buckets and the values inside the middle bucket are all read from them.
     """
     value = hundredths(F.col("work_days_to_bail"))
     counted = enriched.groupBy(value.alias("_value")).agg(
         rows().alias("n"),
         F.count("median_household_income").alias("with_census"),
     )
+    counted = written(counted, "coverage")
     known = F.when(F.col("_value").isNotNull(), F.col("n")).otherwise(0)
-    return counted.agg(
+    totals = counted.agg(
         F.sum("n").alias("rows"),
-        pct(F.sum(known), F.sum("n")).alias("bail_gap_coverage_pct"),
-        from_hundredths(F.percentile("_value", F.lit(0.5), F.col("n")), 1).alias(
-            "median_work_days_to_bail"
-        ),
-        pct(F.sum("with_census"), F.sum("n")).alias("census_coverage_pct"),
+        F.sum(known).alias("known"),
+        F.sum("with_census").alias("with_census"),
+    )
+    middle = percentile_of_counts(counted, "_value", "n", 0.5, "middle")
+    both = totals.unionByName(middle, allowMissingColumns=True)
+    return both.agg(*[F.max(name).alias(name) for name in both.columns]).select(
+        "rows",
+        pct(F.col("known"), F.col("rows")).alias("bail_gap_coverage_pct"),
+        from_hundredths(F.col("middle"), 1).alias("median_work_days_to_bail"),
+        pct(F.col("with_census"), F.col("rows")).alias("census_coverage_pct"),
     )
 
 

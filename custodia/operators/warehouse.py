@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from custodia import config
 from custodia.functions.clean import day, number
-from custodia.functions.grouping import hot_join, numbered
+from custodia.functions.grouping import hot_join, numbered, numbered_by_range
 from custodia.operators.charges import small_table, with_charge_key
 from custodia.operators.intake import first_present
 
@@ -150,7 +150,7 @@ def new_facilities(bookings: DataFrame, existing: DataFrame | None = None) -> Da
         batch = batch.unionByName(seen)
     added = _new_rows(batch, existing, "facility_id")
     start = _largest(existing, "facility_key")
-    return numbered(added, "facility_id", "facility_key", start).withColumn(
+    return numbered_by_range(added, "facility_id", "facility_key", start).withColumn(
         "federal_oversight", F.lit(False)
     )
 
@@ -412,7 +412,7 @@ def added_facilities(attributes: DataFrame, known: DataFrame) -> DataFrame:
     seen = attributes.groupBy("facility_id").agg(
         F.min(F.coalesce("facility_name", "facility_id")).alias("facility_name"), F.min("jurisdiction").alias("jurisdiction")
     )
-    added = numbered(_new_rows(seen, known, "facility_id"), "facility_id", "facility_key", _largest(known, "facility_key"))
+    added = numbered_by_range(_new_rows(seen, known, "facility_id"), "facility_id", "facility_key", _largest(known, "facility_key"))
     return added.withColumn("federal_oversight", F.lit(False))
 
 

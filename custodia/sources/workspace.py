@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -27,3 +27,10 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
     return path
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """df, written to a folder of its own and read back, so that nothing before it runs again."""
+    path = new_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

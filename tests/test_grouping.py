@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from custodia.functions import grouping
-from custodia.functions.grouping import hot_join, numbered, roll_up, tiled
+from custodia.functions.grouping import hot_join, numbered, numbered_by_range, percentile_of_counts, roll_up, tiled
 from custodia.functions.measures import rows
 
 
@@ -67,6 +67,35 @@ def test_numbers_equal_row_number(skewed):
     assert as_set(made.select("id", "n")) == as_set(plain)
 
 
+def test_numbers_by_range_equal_row_number(spark):
+    """All keys begin alike, as the names of one jurisdiction's facilities do; one row has no key."""
+    ids = spark.range(5000).select(
+        F.when(F.col("id") > 0, F.concat(F.lit("NYC-Facility number "), F.col("id").cast("string"))).alias("id")
+    ).repartition(7)
+    made = numbered_by_range(ids, "id", "n", F.lit(10))
+    plain = ids.dropna().withColumn("n", F.row_number().over(Window.orderBy("id")).cast("long") + 10)
+    assert as_set(made.select("id", "n")) == as_set(plain)
+    assert numbered_by_range(ids.limit(0), "id", "n", F.lit(0)).count() == 0
+
+
+@pytest.mark.parametrize("p", [0.0, 0.25, 0.5, 0.9, 1.0])
+@pytest.mark.parametrize("rows_", [1, 2, 999, 1000])
+def test_percentile_of_counts_equals_percentile(spark, p, rows_):
+    """Negative and large values, ties, weights and nulls."""
+    i = F.col("id")
+    counted = spark.range(rows_).select(
+        F.when(i % 9 != 1, (i * 7919 % 613 - 100) * F.when(i % 5 == 0, 100003).otherwise(1)).alias("value"), (i % 4 + 1).alias("n")
+    ).groupBy("value").agg(F.sum("n").alias("n"))
+    made = percentile_of_counts(counted, "value", "n", p, "at").first()["at"]
+    plain = counted.agg(F.percentile("value", F.lit(p), F.col("n"))).first()[0]
+    assert made == pytest.approx(plain, abs=1e-6)
+
+
+def test_percentile_of_no_counts(spark):
+    none = spark.createDataFrame([(None, 3)], "value long, n long")
+    assert [r["at"] for r in percentile_of_counts(none, "value", "n", 0.5, "at").collect()] == [None]
+
+
 def test_hot_join_equals_left_join(skewed):
     lookup = skewed.select("area").distinct().filter("area <> 'b1'").withColumn("code", F.length("area"))
     made = hot_join(skewed, lookup, "area", "a", ["key"])
