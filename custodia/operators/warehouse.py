@@ -290,21 +290,48 @@ def with_defaults(rows: DataFrame, defaults: dict[str, object]) -> DataFrame:
 FACT_DEFAULTS = {"is_md_reform_case": False}
 
 
+# What a booking that is stored already holds there; null for a new one.
+_STORED = {
+    "detention_key": "bigint", "jurisdiction": "string", "booking_date": "date", "release_date": "date",
+    "bail_paid": "boolean", "case_disposition": "string",
+}
+
+
+def _of_stored(name: str) -> Column:
+    return F.col(f"_stored_{name}")
+
+
+def is_new(rows: DataFrame) -> DataFrame:
+    """Of the bookings of ``met`` those that are not stored yet."""
+    return rows.filter(_of_stored("detention_key").isNull()).drop(*[f"_stored_{n}" for n in _STORED])
+
+
+def met(bookings: DataFrame, stored_facts: DataFrame | None) -> DataFrame:
+    """The batch's bookings that have work to do: new ones, and stored ones of which the batch knows
+    more, those with the state of the stored row (``current_facts``).
+
+    Bookings are told apart and held against the stored ones once, on the same partitioning, so a
+    repeated load carries few rows any further.
+    """
+    events = one_row_per_event(projected(bookings))
+    if stored_facts is None:
+        return events.withColumns({f"_stored_{n}": F.lit(None).cast(kind) for n, kind in _STORED.items()})
+    known = stored_facts.select("event_id", *[F.col(n).alias(f"_stored_{n}") for n in _STORED])
+    learned = [_of_stored(n).isNull() & F.col(n).isNotNull() for n in _LATER]
+    return events.join(known, "event_id", "left").filter(
+        _of_stored("detention_key").isNull() | functools.reduce(Column.__or__, learned)
+    )
+
+
 def fact_candidates(
-    bookings: DataFrame,
+    rows: DataFrame,
     geography: DataFrame,
     inmates: DataFrame,
     facilities: DataFrame,
     charges: DataFrame,
-    existing: DataFrame | None = None,
 ) -> DataFrame:
-    """Keyed rows of the bookings not loaded before.
-
-    Loaded bookings drop out right after the de-duplication, on the same
-    partitioning, so a repeated load carries few rows through the key joins.
-    """
-    events = _new_rows(one_row_per_event(projected(bookings)), existing, "event_id")
-    keyed = complete(with_keys(events, geography, inmates, facilities, charges))
+    """Keyed rows of bookings (``met``)."""
+    keyed = with_keys(rows, geography, inmates, facilities, charges)
     return with_defaults(with_generated(keyed), FACT_DEFAULTS)
 
 
@@ -329,16 +356,16 @@ def amendments(bookings: DataFrame, stored_facts: DataFrame) -> DataFrame:
 
     Bookings without an identifier cannot be met again: all their details tell them apart.
     """
-    batch = one_row_per_event(projected(bookings)).select(
-        "event_id", *[F.col(name).alias(f"_{name}") for name in _LATER]
-    )
-    learned = [F.col(name).isNull() & F.col(f"_{name}").isNotNull() for name in _LATER]
-    known = stored_facts.select("event_id", "detention_key", "jurisdiction", "booking_date", *_LATER)
-    return (
-        known.join(batch, "event_id")
-        .filter(functools.reduce(Column.__or__, learned))
-        .withColumns({name: F.coalesce(F.col(name), F.col(f"_{name}")) for name in _LATER})
-        .select("detention_key", "jurisdiction", "booking_date", *_LATER)
+    return amended(met(bookings, stored_facts))
+
+
+def amended(rows: DataFrame) -> DataFrame:
+    """The whole later state of the stored bookings among ``rows`` (``met``)."""
+    return rows.filter(_of_stored("detention_key").isNotNull()).select(
+        *[
+            (F.coalesce(_of_stored(n), F.col(n)) if n in _LATER else _of_stored(n)).alias(n)
+            for n in _STORED
+        ]
     )
 
 

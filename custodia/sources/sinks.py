@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from custodia.functions.clean import utc_now
+from custodia.sources.workspace import small_methods
 
 
 def write_snapshot(
@@ -20,7 +21,8 @@ def write_snapshot(
     """
     stamp = (at or utc_now()).strftime("%Y%m%d_%H%M%S")
     snapshot = f"{folder}/enriched_{stamp}"
-    df.write.mode("overwrite").parquet(snapshot)
+    with small_methods(df.sparkSession):
+        df.write.mode("overwrite").parquet(snapshot)
     if keep_latest:
         df.sparkSession.read.parquet(snapshot).write.mode("overwrite").parquet(latest(folder))
     return snapshot

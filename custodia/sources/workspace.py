@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,3 +36,18 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     path = new_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def small_methods(spark: SparkSession) -> Iterator[None]:
+    """For a wide projection: Spark splits generated methods above 8,000 bytes meanwhile, which the
+    JVM would interpret row by row and never compile. A limit that the session sets stays."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    unset = spark.conf.get(key, None) is None
+    if unset:
+        spark.conf.set(key, "8000")
+    try:
+        yield
+    finally:
+        if unset:
+            spark.conf.unset(key)

@@ -10,6 +10,7 @@ from custodia.operators import quality, warehouse
 from custodia.plans import addiction, bail_gap, conditions, innocence, marts, plea, reform
 from custodia.plans.load import load
 from custodia.plans.star import stored, stored_mart
+from custodia.sources.workspace import small_methods
 
 SF = "/root/testdata/sf0.001"
 
@@ -197,6 +198,42 @@ def test_amendments_fill_only_what_is_missing(spark):
     assert now[3].release_date is None and now[4].release_date is None and len(now) == 4
 
 
+def test_a_load_tells_its_bookings_apart_once(spark, tmp_path, monkeypatch):
+    """A batch is reduced to bookings in one pass, which finds both the new and the amended ones."""
+    kind = "inmate_id_hash string, booking_date string, release_date string, source_system string, jurisdiction string"
+    batches = [
+        [("p", "2020-01-01", None, "s", "NYC"), ("q", "2020-01-02", None, "s", "LA"), ("UNKNOWN", "2020-01-02", None, "s", "LA")],
+        [("p", "2020-01-01", "2020-02-01", "s", "NYC"), ("q", "2020-01-02", None, "s", "LA"), ("q", "2020-01-02", "2019-01-01", "s", "LA"), ("r", "2020-01-03", None, "s", "DC")],
+    ]
+    passes = []
+    one_row = warehouse.one_row_per_event
+    monkeypatch.setattr(warehouse, "one_row_per_event", lambda rows: passes.append(1) or one_row(rows))
+    for rows in (*batches, batches[1]):
+        star = load(spark, spark.createDataFrame(rows, kind).withColumn("zip_code", F.lit("10001")), str(tmp_path))
+    assert len(passes) == 3
+    people = {r.inmate_id_hash: r.inmate_key for r in star.inmate.collect()}
+    got = {(r.inmate_key, str(r.booking_date), str(r.release_date)) for r in star.fact.collect()}
+    assert got == {(people["p"], "2020-01-01", "2020-02-01"), (people["q"], "2020-01-02", "None"), (people["UNKNOWN"], "2020-01-02", "None"), (people["r"], "2020-01-03", "None")}
+    assert sorted(r.detention_key for r in star.fact.collect()) == [1, 2, 3, 4]
+    assert spark.read.parquet(f"{tmp_path}/fact_amendment").count() == 1
+    assert {r.reason for r in spark.read.parquet(f"{tmp_path}/rejected_amendment").collect()} == {"release_before_booking"}
+
+
+def test_a_wide_write_keeps_the_sessions_method_limit(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    assert spark.conf.get(key, None) is None
+    with small_methods(spark):
+        assert spark.conf.get(key) == "8000"
+    assert spark.conf.get(key, None) is None
+    spark.conf.set(key, "9000")
+    try:
+        with small_methods(spark):
+            assert spark.conf.get(key) == "9000"
+        assert spark.conf.get(key) == "9000"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_people_have_homes_and_refused_keys_a_reason(spark, tmp_path):
     _, first = etl.stored_batches(spark, SF)
     odd = first.filter("inmate_id_hash <> 'UNKNOWN' and zip_code is not null").limit(5).withColumns({"zip_code": F.lit("ABCDE"), "age_bucket": F.lit("old"), "inmate_id_hash": F.concat(F.lit("odd"), "inmate_id_hash")})
